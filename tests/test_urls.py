@@ -35,8 +35,8 @@ def test_normalize_reference(spark):
     df = spark.createDataFrame(NORMALIZED, "url string, expected string")
     got = df.select("url", "expected", urls.normalize(F.col("url")).alias("got")).collect()
     assert [(r.url, r.got) for r in got] == NORMALIZED
-    staged = urls.with_normalized(df, "url").collect()
-    assert [(r.url, r.normalized) for r in staged] == NORMALIZED
+    staged = urls.normalization_steps(df, "url").collect()
+    assert [(r.url, r.host) for r in staged] == NORMALIZED
 
 
 def test_normalize_strict(spark):

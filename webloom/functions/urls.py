@@ -232,19 +232,17 @@ def normalize(url: Column, mode: str = "reference") -> Column:
     return url
 
 
-def with_normalized(df, url: str, out: str = "normalized", mode: str = "reference", keep=False):
-    """``normalize`` with one projection per rule: most rules then stay in
-    generated code. ``keep`` leaves the result of each rule as a column.
+def normalization_steps(df, url: str, mode: str = "reference"):
+    """``df`` with the result of each rule as a column of its own, named by the rule.
+
+    One projection per rule. Do not filter on the results: Catalyst would move the
+    filter below and repeat the rules in it. ``normalize`` has no such trap.
     """
     current = F.col(url)
-    names = []
     for name, rule in RULES:
-        step = f"{out}_{name}"
-        df = df.withColumn(step, rule(current, mode))
-        current = F.col(step)
-        names.append(step)
-    df = df.withColumn(out, current)
-    return df if keep else df.drop(*names)
+        df = df.withColumn(name, rule(current, mode))
+        current = F.col(name)
+    return df
 
 
 # ---------------------------------------------------------------- resolution

@@ -1,0 +1 @@
+"""Structured Streaming around the batch plans."""
