@@ -15,7 +15,7 @@ from webloom.functions import fetchlog, html, text, urls
 from webloom.operators import (
     frontier, links, lookups, pages, quality, robots, sitemap, tables,
 )
-from webloom.operators.joins import shared_folder
+from webloom.operators.joins import cut_lineage, shared_folder
 from webloom.plans import crawl, summary
 from webloom.plans.inputs import derived, fetched
 from webloom.plans.store import CrawlStore
@@ -339,7 +339,10 @@ def frontier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Is a linked URL a page of the store, and of which type; -1 for none."""
     page = _page_table(spark, sf_dir)
-    asked = _edges(spark, sf_dir).select(F.col("target").alias("url"), "page_id", "pos")
+    # Each lookup reads its input twice, so extract the links once.
+    asked = cut_lineage(
+        _edges(spark, sf_dir).select(F.col("target").alias("url"), "page_id", "pos")
+    )
     found = lookups.with_page_type(asked, page, spread="pos", missing="-1")
     found = lookups.with_page_id(
         found.withColumnRenamed("page_id", "source"), page, spread="pos", missing=lookups.NOT_FOUND
@@ -377,7 +380,7 @@ def link_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between pages by page number: the first ones stored, then all inserted."""
     ids = derived(spark, sf_dir, "pages_xc").select(F.col("page_id").alias("id"), "url")
     edges = _edges(spark, sf_dir).select("page_id", F.col("target").alias("url"))
-    found = links.page_links(edges, ids)
+    found = cut_lineage(links.page_links(edges, ids))
     return tables.insert_links(found.where("from_page = to_page"), found)
 
 
@@ -386,9 +389,10 @@ def repoint_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = _edges(spark, sf_dir).select(
         F.col("target").alias("url"), "page_id", "pos", "page_url"
     )
-    link = frontier.first_discovery(edges, ["page_id", "pos"]).select(
+    first = frontier.first_discovery(edges, ["page_id", "pos"]).select(
         F.col("page_url").alias("from_page"), F.col("url").alias("to_page")
     )
+    link = cut_lineage(first)
     remap = _classified(spark, sf_dir).where("copy_kind = 'content'").select(
         F.col("url").alias("to_page"), F.col("original_id").alias("new_from")
     )
