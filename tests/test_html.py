@@ -87,7 +87,8 @@ def test_locations_and_visible_text(spark):
 def test_entities(spark):
     from html import unescape
 
-    cases = ["a&amp;b", "&lt;&gt;&quot;&#39;&#x27;", "&eacute;&hellip;&notin;", "no refs", "&#128512;", "& &;", "&#0;"]
+    cases = ["a&amp;b", "&lt;&gt;&quot;&#39;&#x27;", "&eacute;&hellip;&notin;", "no refs", "&#128512;", "& &;", "&#0;",
+             "&#x0000000041;&#00000000000000065;", "&#xFFFFFFFFFFFFFFFFFFFFFFFF;&#99999999999999999999999;"]
     got = spark.createDataFrame([(c,) for c in cases], "s string").select(
         text.decode_entities(F.col("s"))
     ).collect()

@@ -19,9 +19,10 @@ def _token_pattern(names: list[str]) -> str:
     """Start tags of the given names; comments and scripts match as a whole,
     so that tags inside them are passed over."""
     return (
-        r"(?is)<!--.*?(?:-->|\z)"
-        rf"|<(script|style)(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1\s*>|\z)"
-        rf"|<(?:{'|'.join(names)})(?=[\s/>]){_ATTRIBUTES}>"
+        # One leading '<' for all cases: other characters fail at the first test.
+        r"(?is)<(?:!--.*?(?:-->|\z)"
+        rf"|(script|style)(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1\s*>|\z)"
+        rf"|(?:{'|'.join(names)})(?=[\s/>]){_ATTRIBUTES}>)"
     )
 
 
@@ -86,9 +87,10 @@ def base_href(tag_array: Column, mode: str = "reference") -> Column:
 def explode_tags(pages: DataFrame, tag_array: str = "tags") -> DataFrame:
     """One row per tag: the other columns of the page, ``pos`` from 0, and the tag."""
     rest = [c for c in pages.columns if c != tag_array]
-    return pages.select(*rest, F.posexplode(tag_array).alias("pos", "_tag")).select(
-        *rest, "pos", "_tag.*"
-    )
+    # Outer, with the filter behind it: for a plain explode Catalyst adds a filter on
+    # the array's size, moves it down to the scan and so parses every page twice.
+    exploded = pages.select(*rest, F.posexplode_outer(tag_array).alias("pos", "_tag"))
+    return exploded.where("pos is not null").select(*rest, "pos", "_tag.*")
 
 
 def tag_rows(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:

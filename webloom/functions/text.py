@@ -46,9 +46,10 @@ def decode_entities(text: Column) -> Column:
     named = F.from_json(F.lit(_NAMED), "map<string,string>")
 
     def one(ref: Column) -> Column:
-        body = F.regexp_replace(ref, "^&#?[xX]?|;$", "")
+        body = F.regexp_replace(ref, "^&#[xX]?0*(?=[^;])|;$", "")
         number = (
-            F.when(ref.rlike("^&#[xX]"), F.conv(body, 16, 10))
+            # More digits than a code point can have would overflow conv().
+            F.when(ref.rlike("^&#[xX]"), F.when(F.length(body) <= 8, F.conv(body, 16, 10)))
             .when(ref.startswith("&#"), body)
             .try_cast("bigint")
         )
@@ -64,7 +65,9 @@ def decode_entities(text: Column) -> Column:
 def percent_decode(text: Column) -> Column:
     """Percent triplets decoded as UTF-8; '+' and stray '%' stay as they are."""
     plain = F.regexp_replace(F.replace(text, F.lit("+"), F.lit("%2B")), "%(?![0-9a-fA-F]{2})", "%25")
-    return F.when(F.contains(text, F.lit("%")), F.try_url_decode(plain)).otherwise(text)
+    return F.when(F.contains(text, F.lit("%")), F.coalesce(F.try_url_decode(plain), text)).otherwise(
+        text
+    )
 
 
 def content_hash(html: Column) -> Column:

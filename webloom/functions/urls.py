@@ -139,25 +139,30 @@ def collapse_directories(url: Column, mode: str = "reference") -> Column:
         head = F.regexp_extract(url, r"^([^:/?#]+://[^/?#]*)", 1)
         tail = F.regexp_extract(url, r"([?#](?s:.*))$", 1)
         dotted = path.rlike(_DOTTED) & (head != "")
-        return F.when(dotted, F.concat(head, _rooted(_without_dots(path)), tail)).otherwise(url)
-    parts = F.split(url, "/", -1)
-    folders = F.slice(parts, 4, F.greatest(F.size(parts) - 4, F.lit(0)))
+        clean = bind(_without_dots(path), _rooted)
+        return F.when(dotted, F.concat(head, clean, tail)).otherwise(url)
 
     def step(kept: Column, name: Column) -> Column:
         return F.when(F.array_contains(kept, name), F.array(name)).otherwise(
             F.concat(kept, F.array(name))
         )
 
-    kept = F.aggregate(folders, F.array().cast("array<string>"), step)
-    rebuilt = F.concat(
-        F.array_join(F.slice(parts, 1, 3), "/"),
-        F.lit("/"),
-        F.array_join(F.transform(kept, lambda d: F.concat(d, F.lit("/"))), ""),
-    )
-    repeats = F.size(F.array_distinct(folders)) < F.size(folders)
-    return F.when(F.size(parts) >= 4, F.when(repeats, rebuilt).otherwise(url)).when(
-        F.size(parts) == 3, F.concat(url, F.lit("/"))
-    )
+    def rebuilt(parts: Column, folders: Column) -> Column:
+        kept = F.aggregate(folders, F.array().cast("array<string>"), step)
+        # An empty last name gives the final slash.
+        names = F.concat(F.slice(parts, 1, 3), kept, F.array(F.lit("")))
+        return F.array_join(names, "/")
+
+    def collapsed(parts: Column) -> Column:
+        folders = F.slice(parts, 4, F.greatest(F.size(parts) - 4, F.lit(0)))
+        return (
+            F.when(F.size(parts) < 3, None)
+            .when(F.size(parts) == 3, F.concat(url, F.lit("/")))
+            .when(F.size(F.array_distinct(folders)) == F.size(folders), url)
+            .otherwise(bind(folders, lambda f: rebuilt(parts, f)))
+        )
+
+    return bind(F.split(url, "/", -1), collapsed)
 
 
 def drop_default_file(url: Column, mode: str = "reference") -> Column:
@@ -252,7 +257,6 @@ _DOTTED = r"(?:^|/)\.\.?(?:/|$)"
 
 def _without_dots(path: Column) -> Column:
     """Path with its '.' and '..' segments worked in (RFC 3986, 5.2.4)."""
-    segments = F.split(path, "/", -1)
 
     def step(kept: Column, seg: Column) -> Column:
         return (
@@ -261,14 +265,17 @@ def _without_dots(path: Column) -> Column:
             .otherwise(F.concat(kept, F.array(seg)))
         )
 
-    kept = F.aggregate(segments, F.array().cast("array<string>"), step)
-    joined = F.concat(
-        F.array_join(kept, "/"),
-        F.when(
-            F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0), F.lit("/")
-        ).otherwise(F.lit("")),
+    kept = F.aggregate(
+        F.split(path, "/", -1),
+        F.array().cast("array<string>"),
+        step,
+        # A path that ends in a dotted segment names a folder.
+        lambda names: F.concat(
+            F.array_join(names, "/"),
+            F.when(path.rlike(r"(?:^|/)\.\.?$") & (F.size(names) > 0), "/").otherwise(""),
+        ),
     )
-    return F.when(joined == "", "/").otherwise(joined)
+    return F.coalesce(F.nullif(kept, F.lit("")), F.lit("/"))
 
 
 def _rooted(path: Column) -> Column:
@@ -281,48 +288,97 @@ def _part(url: Column, group: int) -> Column:
     return F.regexp_extract(url, shape, group)
 
 
-def resolve(href: Column, base: Column) -> Column:
-    """The link ``href`` as seen from ``base`` (RFC 3986, section 5).
-
-    Links of another scheme (``mailto:``, ``javascript:``) come back unchanged.
-    """
-    ref = F.regexp_replace(F.regexp_replace(href, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    ref_scheme = scheme(ref)
-    base_scheme, base_path = scheme(base), _part(base, 3)
-    same_scheme = (ref_scheme == base_scheme) | (ref_scheme == "")
-    # "http:page" on an http base is a relative link with a needless scheme.
-    local = F.when(ref_scheme == "", ref).otherwise(
-        F.regexp_replace(ref, f"^{SCHEME}:", "")
-    )
-    path = _part(ref, 3)
-    prefix = F.when(base_scheme != "", F.concat(base_scheme, F.lit(":"))).otherwise(F.lit(""))
-    host = F.when(authority(base) != "", F.concat(F.lit("//"), authority(base))).otherwise(F.lit(""))
-    site = F.concat(prefix, host)
-    folder = F.regexp_extract(base_path, r"^((?s:.*)/)", 1)
-    folder = F.when((folder == "") & (authority(base) != ""), F.lit("/")).otherwise(folder)
-    # Empty segments inside a merged path vanish, those of a rooted link stay.
-    merged = F.when(path.startswith("/"), path).otherwise(
-        F.regexp_replace(F.concat(folder, path), "(?<=.)/{2,}", "/")
+def base_parts(base: Column) -> Column:
+    """What ``resolve`` needs of a base URL, taken apart once per page."""
+    return bind(base, _base_parts)
+
+
+def _base_parts(base: Column) -> Column:
+    path = _part(base, 3)
+    folder = F.regexp_extract(path, r"^((?s:.*)/)", 1)
+    host, query = authority(base), _part(base, 4)
+    prefix = F.when(scheme(base) != "", F.concat(scheme(base), F.lit(":"))).otherwise("")
+    origin = F.when(host != "", F.concat(prefix, F.lit("//"), host)).otherwise(prefix)
+    return F.struct(
+        base.alias("url"),
+        scheme(base).alias("scheme"),
+        prefix.alias("prefix"),
+        (host != "").alias("rooted"),
+        origin.alias("origin"),
+        path.alias("path"),
+        F.when((folder == "") & (host != ""), "/").otherwise(folder).alias("folder"),
+        F.when(query != "", F.concat(F.lit("?"), query)).otherwise("").alias("query"),
     )
-    merged = F.when(merged.rlike(_DOTTED), _without_dots(merged)).otherwise(merged)
-    merged = F.when(authority(base) != "", _rooted(merged)).otherwise(merged)
-    query, fragment = _part(local, 4), _part(local, 5)
-    tail = F.concat(
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
-        F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(F.lit("")),
+
+
+def _without_empty_tail(url: Column) -> Column:
+    """URL without a '?' or '#' that nothing follows."""
+    short = lambda u: F.regexp_replace(
+        F.regexp_replace(u, r"^([^?#]*)\?(?=#|$)", "$1"), r"^([^#]*)#$", "$1"
     )
-    base_query = _part(base, 4)
-    kept_query = F.when(
-        (query == "") & (base_query != ""), F.concat(F.lit("?"), base_query)
-    ).otherwise(F.lit(""))
+    return bind(url, lambda u: F.when(u.rlike(r"[?#]$|\?#"), short(u)).otherwise(u))
+
+
+def _join(ref: Column, at: Column) -> Column:
+    """``ref``, which has no scheme and no host of its own, below the base ``at``."""
+    path = F.regexp_extract(ref, "^([^?#]*)", 1)
+
+    def with_path(p: Column) -> Column:
+        # Empty segments inside a merged path vanish, those of a rooted link stay.
+        merged = F.when(p.startswith("/"), p).otherwise(
+            F.regexp_replace(F.concat(at["folder"], p), "(?<=.)/{2,}", "/")
+        )
+        dotless = bind(merged, lambda m: F.when(m.rlike(_DOTTED), _without_dots(m)).otherwise(m))
+        rooted = bind(
+            dotless,
+            lambda m: F.when(at["rooted"] & ~m.startswith("/"), F.concat(F.lit("/"), m)).otherwise(m),
+        )
+        return F.concat(at["origin"], rooted, _after(ref, p))
+
+    own_query = ref.rlike(r"^\?[^#]")
     return (
-        F.when(F.coalesce(base, F.lit("")) == "", href)
-        .when(href == "", base)
-        .when(~same_scheme, href)
-        .when(
-            authority(ref) != "",
-            F.concat(prefix, F.lit("//"), authority(ref), path, tail),
+        F.when(own_query, F.concat(at["origin"], at["path"], ref))
+        .when(ref.rlike("^[?#]"), F.concat(
+            at["origin"], at["path"], at["query"], F.regexp_replace(ref, r"^\?", "")))
+        .otherwise(bind(path, with_path))
+    )
+
+
+def resolve_against(href: Column, at: Column) -> Column:
+    """The link ``href`` as seen from a base given by its ``base_parts`` (RFC 3986, section 5).
+
+    Links of another scheme (``mailto:``, ``javascript:``) come back unchanged. The
+    usual links, rooted or absolute, leave at the first tests.
+    """
+
+    def split(ref: Column) -> Column:
+        return F.struct(
+            scheme(ref).alias("scheme"), F.regexp_replace(ref, f"^{SCHEME}:", "").alias("rest")
         )
-        .when(path == "", F.concat(site, base_path, kept_query, tail))
-        .otherwise(F.concat(site, merged, tail))
+
+    def cases(p: Column) -> Column:
+        # "http:page" on an http base is a relative link with a needless scheme.
+        joined = F.when(
+            p["rest"].rlike("^//[^/?#]"), F.concat(at["prefix"], p["rest"])
+        ).otherwise(_join(p["rest"], at))
+        return F.when((p["scheme"] != "") & (p["scheme"] != at["scheme"]), href).otherwise(
+            _without_empty_tail(joined)
+        )
+
+    odd = r"^[\x00-\x20]|[\t\r\n]"
+    cleaned = F.when(
+        href.rlike(odd),
+        F.regexp_replace(F.regexp_replace(href, r"^[\x00-\x20]+", ""), r"[\t\r\n]", ""),
+    ).otherwise(href)
+    plain = href.rlike(r"^/(?!/)(?:[^./?#\t\r\n]|\.(?!/|\.?/|\.?$)|/(?!\.))*+$") & at["rooted"]
+    return (
+        F.when(at["url"] == "", href)
+        .when(plain, F.concat(at["origin"], href))
+        .when(href == "", at["url"])
+        .otherwise(bind(bind(cleaned, split), cases))
     )
+
+
+def resolve(href: Column, base: Column) -> Column:
+    """The link ``href`` as seen from the URL ``base``."""
+    return bind(base_parts(F.coalesce(base, F.lit(""))), lambda at: resolve_against(href, at))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webloom.operators.joins import hot_key_join
 from webloom.schemas import FRONTIER, REDIRECTS
 
 # ---------------------------------------------------------------- scans of the page table
@@ -52,9 +53,9 @@ def unvisited(urls: DataFrame, visited: DataFrame) -> DataFrame:
 
 
 def visited_targets(fetched: DataFrame, visited: DataFrame) -> DataFrame:
-    """Rows whose redirect target is among the visited URLs."""
+    """Rows whose redirect target is among the visited URLs; many may share one target."""
     seen = visited.select(F.col("url").alias("redirect_url")).distinct()
-    return fetched.join(seen, "redirect_url", "left_semi")
+    return hot_key_join(fetched, seen, "redirect_url", "url", "left_semi")
 
 
 def enqueue(queue: DataFrame, urls: DataFrame) -> DataFrame:

@@ -24,11 +24,11 @@ def page_tags(
 
 
 def with_base(parsed: DataFrame, url: str = "url", mode: str = "reference") -> DataFrame:
-    """``base`` of each page: the page's own URL where no tag gives one."""
+    """``base`` of each page, in parts: the page's own URL where no tag gives one."""
     given = html.base_href(F.col("tags"), mode)
     if mode == "strict":
         given = urls.resolve(given, F.col(url))
-    return parsed.withColumn("base", F.coalesce(given, F.col(url)))
+    return parsed.withColumn("base", urls.base_parts(F.coalesce(given, F.col(url), F.lit(""))))
 
 
 def with_targets(tags: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def with_targets(tags: DataFrame) -> DataFrame:
     return (
         tags.where(is_link())
         .withColumn("kind", urls.link_class(F.col("href")))
-        .withColumn("target", urls.resolve(F.col("href"), F.col("base")))
+        .withColumn("target", urls.resolve_against(F.col("href"), F.col("base")))
     )
 
 

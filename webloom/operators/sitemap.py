@@ -56,7 +56,7 @@ def expand_sitemaps(files: DataFrame, ok: list[int], roots: DataFrame | None = N
         level = cut_lineage(found)
         if level.isEmpty():
             break
-        reached = cut_lineage(reached.unionByName(level))
+        reached = reached.unionByName(level)
     return (
         reached.join(located, ["authority", "path"])
         .select(F.col("site").alias("authority"), F.explode("locs").alias("url"))

@@ -157,8 +157,17 @@ def with_route(due: DataFrame, state: DataFrame, crawl: Crawl) -> DataFrame:
     )
 
 
+def _as_is(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 def new_sites(
-    routed: DataFrame, site: DataFrame, files: DataFrame | None, crawl: Crawl, after: int
+    routed: DataFrame,
+    site: DataFrame,
+    files: DataFrame | None,
+    crawl: Crawl,
+    after: int,
+    stage=_as_is,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Site rows for domains that the store lacks, and the URLs of their sitemaps.
 
@@ -175,9 +184,9 @@ def new_sites(
         empty = F.lit(None).cast("string")
         rows = found.withColumn("robots_content", empty).withColumn("sitemap_content", empty)
         return with_ids(rows, "domain", after), None
-    listed = found.join(
-        sitemap.expand_sitemaps(files, crawl.kind.file_ok, found), "authority"
-    ).select("domain", "url")
+    found = stage("domains", found)
+    expanded = sitemap.expand_sitemaps(files, crawl.kind.file_ok, found)
+    listed = stage("listed", found.join(expanded, "authority").select("domain", "url"))
     rows = (
         found.join(robots.robots_content(files, crawl.kind.file_ok), "authority", "left")
         .join(sitemap.sitemap_texts(listed, "domain"), "domain", "left")
@@ -250,15 +259,15 @@ def accepted_tags(parsed: DataFrame, decided: DataFrame, crawl: Crawl) -> DataFr
     tags = html.explode_tags(links.with_base(chosen, "page_url", crawl.mode))
     link = links.is_link()
     return tags.withColumn("kind", F.when(link, urls.link_class(F.col("href")))).withColumn(
-        "target", F.when(F.col("kind") == "page", urls.resolve(F.col("href"), F.col("base")))
-    )
+        "target", F.when(F.col("kind") == "page", urls.resolve_against(F.col("href"), F.col("base")))
+    ).drop("base")
 
 
 ORDER = ["accessed_time", "page_url", "pos"]
 
 
 def discover(
-    edges: DataFrame, crawl: Crawl, policy: DataFrame | None, stage=lambda name, df: df
+    edges: DataFrame, crawl: Crawl, policy: DataFrame | None, stage=_as_is
 ) -> DataFrame:
     """Distinct URLs that links lead to, each with the link that found it first.
 
@@ -329,7 +338,7 @@ def _apply(
     run.write("reject", unread.unionByName(unknown))
 
     routed = run.stage("routed", with_route(found.where("due"), state, crawl))
-    rows, listed = new_sites(routed, store.table("site"), files, crawl, last.site_id)
+    rows, listed = new_sites(routed, store.table("site"), files, crawl, last.site_id, run.stage)
     run.write("site", rows)
     if listed is not None:
         run.write("sitemap_url", listed)

@@ -34,6 +34,11 @@ def _tags(spark, sf_dir, name="pages_x", mode="reference") -> DataFrame:
     return links.page_tags(derived(spark, sf_dir, name), ["page_id", "url"], mode=mode)
 
 
+def _files(spark, sf_dir) -> DataFrame:
+    """Site files as a table, since the steps that need them read them again and again."""
+    return cut_lineage(derived(spark, sf_dir, "site_files"))
+
+
 def _edges(spark, sf_dir, mode="reference") -> DataFrame:
     """Links to pages in scope: ``page_id, page_url, pos, target``."""
     targets = links.with_targets(_tags(spark, sf_dir, mode=mode))
@@ -96,7 +101,7 @@ def image_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_link_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    policy = robots.robots_policy(derived(spark, sf_dir, "site_files"), OK)
+    policy = robots.robots_policy(_files(spark, sf_dir), OK)
     found = summary.page_summary(derived(spark, sf_dir, "pages_xc").select("url", "html"), policy)
     return found.select(
         "url",
@@ -224,6 +229,12 @@ def route_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def visited_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that led to a page of the store."""
+    moved = fetched(derived(spark, sf_dir, "pages_xc")).select("url", "redirect_url")
+    return frontier.visited_targets(moved, derived(spark, sf_dir, "pages_x"))
+
+
 def status_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = derived(spark, sf_dir, "fetch_log")
     entries = fetchlog.response_entries(log)
@@ -247,7 +258,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages.route(F.col("http_status_code"), pages.SUCCESS).alias("route"),
     )
     rows, _ = crawl.new_sites(
-        routed, store["site"], derived(spark, sf_dir, "site_files"), crawl.Crawl(SCOPE), 0
+        routed, store["site"], _files(spark, sf_dir), crawl.Crawl(SCOPE), 0
     )
     return tables.insert_sites(store["site"], rows.drop("id")).select(
         "domain", "robots_content", "sitemap_content"
@@ -269,7 +280,7 @@ def page_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def robots_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    policy = robots.robots_policy(derived(spark, sf_dir, "site_files"), OK)
+    policy = robots.robots_policy(_files(spark, sf_dir), OK)
     asked = derived(spark, sf_dir, "pages_xc").select("url")
     return robots.with_robots(asked, policy).select("url", "allowed")
 
@@ -285,14 +296,14 @@ def robots_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sitemap.expand_sitemaps(derived(spark, sf_dir, "site_files"), OK)
+    return sitemap.expand_sitemaps(_files(spark, sf_dir), OK)
 
 
 def sitemap_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sitemap.expand_sitemaps(
-        readers.fetched_sitemaps(derived(spark, sf_dir, "site_files"), OK), OK
+        readers.fetched_sitemaps(_files(spark, sf_dir), OK), OK
     )
-    return sitemap.sitemap_texts(found, "authority")
+    return sitemap.sitemap_texts(cut_lineage(found), "authority")
 
 
 # ---------------------------------------------------------------- tables
@@ -421,7 +432,8 @@ def dimension_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Constraint checks over tables with faults of every kind."""
     fresh = tables.empty_tables(spark)
-    source = derived(spark, sf_dir, "pages_xc")
+    # The checks read every table several times, as they would the tables of a store.
+    source = cut_lineage(derived(spark, sf_dir, "pages_xc").select("page_id", "url", "status"))
     authority = derived(spark, sf_dir, "authorities")
     page = source.select(
         F.col("page_id").alias("id"),
@@ -429,7 +441,7 @@ def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("status") == 200, "HTML").otherwise("a page type that is too long").alias("page_type_code"),
         F.when(F.col("page_id") % 20 != 0, F.replace("url", F.lit("://copy."), F.lit("://"))).alias("url"),
     )
-    tags = _tags(spark, sf_dir, "pages_xc")
+    tags = cut_lineage(_tags(spark, sf_dir, "pages_xc").drop("base"))
     found = {
         **fresh,
         "site": authority.select((F.col("m") % 5).alias("id"), F.col("authority").alias("domain")),
@@ -459,7 +471,7 @@ def _crawled(spark, sf_dir) -> CrawlStore:
     x = derived(spark, sf_dir, "pages_xc")
     store.add_frontier(x.select("url"))
     crawl.process_batch(
-        store, fetched(x), crawl.Crawl(SCOPE), derived(spark, sf_dir, "site_files")
+        store, fetched(x), crawl.Crawl(SCOPE), _files(spark, sf_dir)
     )
     return store
 
@@ -492,7 +504,7 @@ def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redirect_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store after a second visit to the pages that answered with a redirect."""
     store = _crawled(spark, sf_dir)
-    crawl.redirect_pass(store, fetched(derived(spark, sf_dir, "pages_xc")), SCOPE, derived(spark, sf_dir, "site_files"))
+    crawl.redirect_pass(store, fetched(derived(spark, sf_dir, "pages_xc")), SCOPE, _files(spark, sf_dir))
     return _states(store).where("page_type_code <> 'FRONTIER'").select(
         "url", "page_type_code", "http_status_code", "html_content_hash"
     )
@@ -510,7 +522,7 @@ def stream_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
         fetched(part).coalesce(1).write.mode("append").parquet(f"{folder}/arrivals")
     query = start_crawl(
         readers.fetched_page_stream(spark, f"{folder}/arrivals", files_per_batch=1),
-        store, crawl.Crawl(SCOPE), f"{folder}/progress", derived(spark, sf_dir, "site_files"), once=True,
+        store, crawl.Crawl(SCOPE), f"{folder}/progress", _files(spark, sf_dir), once=True,
     )
     query.awaitTermination()
     store.refresh()
@@ -524,7 +536,7 @@ QUERIES = {
         normalize_urls_strict, domains, link_classes, documents, images, image_sources,
         page_link_summary, frontier_new, discovery_links, next_batch, next_generation,
         canonical_duplicates, content_duplicates, document_duplicates, same_hash_lookup,
-        route_pages, status_from_log, sites, page_sites, robots_allowed, robots_rules,
+        route_pages, visited_redirects, status_from_log, sites, page_sites, robots_allowed, robots_rules,
         robots_texts, sitemap_urls, sitemap_texts, page_scans, frontier_counts, page_lookups,
         frontier_insert, page_update, link_insert, repoint_links, dimension_upsert,
         constraint_report, page_states, crawl_links, redirect_pass, stream_crawl,

@@ -10,6 +10,8 @@ narrow.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,7 @@ COMMIT = (
     "run int, base boolean, batch bigint, page_id bigint, site_id bigint, image_id bigint, "
     "page_data_id bigint"
 )
+NUMBERED = ["page", "site", "image", "page_data"]
 VISITED, FRONTIER = "visited", "frontier"
 
 
@@ -252,10 +255,14 @@ class Run:
         )
 
     def commit(self, base: bool = False, keep_ids: bool = False) -> None:
-        ids = {}
-        for table in ("page", "site", "image", "page_data"):
-            before = getattr(self.last, f"{table}_id", 0) if self.last and (keep_ids or not base) else 0
-            ids[table] = max(before, self.read(table).agg(F.max("id")).first()[0] or 0)
+        kept = self.last is not None and (keep_ids or not base)
+        before = {t: getattr(self.last, f"{t}_id") if kept else 0 for t in NUMBERED}
+        highest = reduce(
+            DataFrame.unionByName,
+            [self.read(t).agg(F.lit(t).alias("t"), F.max("id").alias("id")) for t in NUMBERED],
+        )
+        now = {r.t: r.id or 0 for r in highest.collect()}
+        ids = {t: max(before[t], now[t]) for t in NUMBERED}
         row = (self.number, base, self.batch, *ids.values())
         self._put(
             self.store.spark.createDataFrame([row], COMMIT).coalesce(1),
