@@ -19,7 +19,7 @@ _TRIM = r"^\s+|\s+$"
 def robots_files(files: DataFrame) -> DataFrame:
     """The robots file of each authority, the one with the lowest status if there are several."""
     return (
-        files.where(F.col("path") == ROBOTS_PATH)
+        files.where((F.col("path") == ROBOTS_PATH) & F.col("status").isNotNull())
         .groupBy("authority")
         .agg(F.min(F.struct("status", "body")).alias("_f"))
         .select("authority", "_f.*")
@@ -111,11 +111,15 @@ def robots_policy(files: DataFrame, ok: list[int]) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("line_no", "allow", "path"))).alias("rules"))
     )
     status = F.col("status")
+    # The status alone: file texts need not be shuffled a second time for it.
+    statuses = (
+        files.where((F.col("path") == ROBOTS_PATH) & status.isNotNull())
+        .groupBy("authority")
+        .agg(F.min("status").alias("status"))
+    )
     otherwise = status.isin(ok) | (status.between(400, 499) & ~status.isin(401, 403))
-    return (
-        robots_files(files)
-        .select("authority", F.coalesce(otherwise, F.lit(True)).alias("otherwise"))
-        .join(rules, "authority", "left")
+    return statuses.select("authority", otherwise.alias("otherwise")).join(
+        rules, "authority", "left"
     )
 
 

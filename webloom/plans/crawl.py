@@ -329,10 +329,20 @@ def process_batch(
 
 
 def _apply(
-    store: CrawlStore, run: Run, parsed: DataFrame, crawl: Crawl, files: DataFrame | None
+    store: CrawlStore,
+    run: Run,
+    parsed: DataFrame,
+    crawl: Crawl,
+    files: DataFrame | None,
+    queue: DataFrame | None = None,
 ) -> None:
+    """All steps after the parse; ``queue`` limits them to some URLs of ``parsed``."""
     state, last = store.page_state(), run.last
-    found = run.stage("found", due_pages(parsed, state, crawl))
+    found = due_pages(parsed, state, crawl)
+    if queue is not None:
+        # Here rows are narrow; the tags of other pages are not touched.
+        found = found.join(queue.select("url"), "url", "left_semi")
+    found = run.stage("found", found)
     unread = parsed.where(F.col("reason").isNotNull()).select("url", "reason")
     unknown = found.where(F.col("page_id").isNull()).select("url", F.lit("unknown url").alias("reason"))
     run.write("reject", unread.unionByName(unknown))
@@ -417,6 +427,6 @@ def crawl_archive(
         if texts is not None:
             run.write("html", texts)
             texts = None
-        _apply(store, run, parsed.join(queue.select("url"), "url", "left_semi"), crawl, files)
+        _apply(store, run, parsed, crawl, files, queue)
         done += 1
     return done

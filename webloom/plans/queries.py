@@ -182,7 +182,8 @@ def _classified(spark, sf_dir) -> DataFrame:
         text.content_digest(F.col("html")).alias("html_sha256"),
         F.col("url").alias("page_id"),
     )
-    return pages.classify(facts)
+    # Read several times below; hash and parse every page once.
+    return pages.classify(cut_lineage(facts))
 
 
 def content_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +214,8 @@ def same_hash_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page_id").alias("id"), *hashes
     )
     asked = derived(spark, sf_dir, "pages_xc").select("url", *hashes)
-    return lookups.with_page_of_hash(asked, stored, missing=-1).select("url", "same_page_id")
+    asked = cut_lineage(asked)
+    return lookups.with_page_of_hash(asked, stored, missing=lookups.NOT_FOUND).select("url", "same_page_id")
 
 
 def route_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
