@@ -69,7 +69,11 @@ def mark_visited(visited: DataFrame, urls: DataFrame) -> DataFrame:
 
 
 def next_batch(queue: DataFrame, size: int, *order: str | Column) -> DataFrame:
-    """The first ``size`` entries of the queue; an empty frame if the queue is empty."""
+    """The first ``size`` entries of the queue; an empty frame if the queue is empty.
+
+    A top-k: ``size`` rows meet in one task. To take very many, take the whole queue
+    (``next_generation``).
+    """
     return queue.orderBy(*(order or ("url",))).limit(size)
 
 

@@ -29,8 +29,11 @@ def insert_sites(site: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def new_frontier_rows(urls: DataFrame, page: DataFrame, after: int) -> DataFrame:
-    """Page rows for the URLs that the page table lacks; other columns pass through."""
-    fresh = urls.dropDuplicates(["url"]).join(page.select("url"), "url", "left_anti")
+    """Page rows for those of the (distinct) URLs that the page table lacks.
+
+    Other columns of ``urls`` pass through.
+    """
+    fresh = urls.join(page.select("url"), "url", "left_anti")
     rows = with_ids(fresh, "url", after)
     for name, (value, kind) in FRONTIER_DEFAULTS.items():
         rows = rows.withColumn(name, F.lit(value).cast(kind))
@@ -39,7 +42,8 @@ def new_frontier_rows(urls: DataFrame, page: DataFrame, after: int) -> DataFrame
 
 def insert_frontier(page: DataFrame, urls: DataFrame) -> DataFrame:
     """The page table with the URLs that it lacked, as pages still to visit."""
-    return page.unionByName(new_frontier_rows(urls, page, _next_id(page)).select(page.columns))
+    rows = new_frontier_rows(urls.select("url").distinct(), page, _next_id(page))
+    return page.unionByName(rows.select(page.columns))
 
 
 def frontier_ids(page_before: DataFrame, page_after: DataFrame, urls: DataFrame) -> DataFrame:

@@ -194,11 +194,10 @@ def new_sites(
     return with_ids(rows, "domain", after), listed
 
 
-def decide(routed: DataFrame, site: DataFrame, state: DataFrame) -> DataFrame:
+def decide(routed: DataFrame, site: DataFrame, state: DataFrame, stage=_as_is) -> DataFrame:
     """Site and page type of every page that is due, and the original of a copy."""
-    placed = hot_key_join(
-        routed, site.select("domain", F.col("id").alias("site_id")), "domain", "url"
-    )
+    ids = site.select("domain", F.col("id").alias("site_id"))
+    placed = stage("placed", hot_key_join(routed, ids, "domain", "url"))
     stored = state.where(F.col("page_type_code") == schemas.HTML).select("id", "html_sha256")
     accepted = pages.classify(placed.where(F.col("route") == "ok"), stored)
     rest = placed.where(F.col("route") != "ok").select(
@@ -315,7 +314,7 @@ def process_batch(
     Pages that the store does not know or that cannot be read go to ``reject``,
     visited ones are passed over, and a ``batch`` done before is left alone (None).
     """
-    run = store.begin(batch)
+    run = store.begin(batch, crawl.kind.redirects)
     if run is None:
         return None
     ok = F.col("http_status_code").isin(crawl.kind.accepted) & F.col("html").isNotNull()
@@ -354,7 +353,7 @@ def _apply(
         run.write("sitemap_url", listed)
     site = store.log("site", also=run.number)
 
-    decided = run.stage("decided", decide(routed, site, state))
+    decided = run.stage("decided", decide(routed, site, state, run.stage))
     run.write_pages(VISITED, page_updates(decided))
     if not crawl.kind.redirects:
         run.write("repoint", repointed(decided, state))
@@ -368,14 +367,14 @@ def _apply(
     if files is not None:
         policy = robots.robots_policy(files, [200])
     edges = links.in_scope_links(tags, crawl.scope)
-    now = store.page_state(also=run.number)
+    now = store.page_state(also=run)
     fresh = run.stage(
         "fresh",
         tables.new_frontier_rows(discover(edges, crawl, policy, run.stage), now, last.page_id),
     )
     run.write_pages(FRONTIER, fresh)
     if crawl.all_links:
-        now = store.page_state(also=run.number)
+        now = store.page_state(also=run)
         pairs = every_link(edges, crawl, policy, now, run.stage)
         run.write("link", pairs.join(store.log("link"), ["from_page", "to_page"], "left_anti"))
     else:
@@ -412,7 +411,7 @@ def crawl_archive(
     """
     parsed, done = None, 0
     while generations is None or done < generations:
-        run = store.begin()
+        run = store.begin(rewrites=crawl.kind.redirects)
         if parsed is None:
             ok = F.col("http_status_code").isin(crawl.kind.accepted) & F.col("html").isNotNull()
             digest = text.content_digest(F.col("html")).alias("html_sha256")

@@ -39,7 +39,7 @@ LAYOUT: dict[str, str] = {
     "reject": "url string, reason string, run int",
 }
 COMMIT = (
-    "run int, base boolean, batch bigint, page_id bigint, site_id bigint, image_id bigint, "
+    "run int, base boolean, rewrites boolean, batch bigint, page_id bigint, site_id bigint, image_id bigint, "
     "page_data_id bigint"
 )
 NUMBERED = ["page", "site", "image", "page_data"]
@@ -97,13 +97,16 @@ class CrawlStore:
         done = self.commits()
         return done[-1].run + 1 if done else 0
 
-    def begin(self, batch: int | None = None) -> Run | None:
-        """The next run; None if ``batch`` was committed before."""
+    def begin(self, batch: int | None = None, rewrites: bool = False) -> Run | None:
+        """The next run; None if ``batch`` was committed before.
+
+        ``rewrites`` tells that the run may change pages that were visited before.
+        """
         self.refresh()
         done = self.commits()
         if batch is not None and any(r.batch == batch for r in done):
             return None
-        return Run(self, done[-1].run + 1, batch, done[-1])
+        return Run(self, done[-1].run + 1, batch, done[-1], rewrites)
 
     # ------------------------------------------------------------ tables
 
@@ -129,14 +132,16 @@ class CrawlStore:
         paths = [(f, jvm.org.apache.hadoop.fs.Path(f)) for f in folders]
         return [f for f, p in paths if p.getFileSystem(conf).exists(p)]
 
-    def page_state(self, also: int | None = None) -> DataFrame:
-        """The pages as they are now, without their HTML."""
-        log = self.log("page", also)
+    def page_state(self, also: Run | None = None) -> DataFrame:
+        """The pages as they are now, without their HTML; ``also`` counts though unfinished."""
+        log = self.log("page", also.number if also else None)
         seen = log.where(F.col("part") == VISITED)
         rest = [c for c in log.columns if c not in ("id", "run", "part")]
-        latest = (
-            seen.groupBy("id").agg(F.max(F.struct("run", *rest)).alias("_row")).select("id", "_row.*")
-        )
+        latest = seen.select("id", "run", *rest)
+        # Only a redirect pass visits a page again. Without one no page has two rows here.
+        if any(r.rewrites for r in self.commits()) or (also is not None and also.rewrites):
+            row = F.max(F.struct("run", *rest)).alias("_row")
+            latest = seen.groupBy("id").agg(row).select("id", "_row.*")
         # A page never goes back to the frontier, so any later row replaces it there.
         waiting = log.where(F.col("part") == FRONTIER).join(seen.select("id"), "id", "left_anti")
         return latest.unionByName(waiting.select(latest.columns))
@@ -195,7 +200,8 @@ class CrawlStore:
     def add_frontier(self, urls: DataFrame) -> None:
         """Add URLs (``url``) that the store lacks to the frontier."""
         run = self.begin()
-        rows = tables.new_frontier_rows(urls.select("url"), self.page_state(), run.last.page_id)
+        distinct = urls.select("url").distinct()
+        rows = tables.new_frontier_rows(distinct, self.page_state(), run.last.page_id)
         run.write_pages(FRONTIER, rows)
         run.write("page_type", self.spark.createDataFrame([(schemas.FRONTIER,)], "code string"))
         run.commit()
@@ -220,8 +226,16 @@ class CrawlStore:
 class Run:
     """One batch in the making."""
 
-    def __init__(self, store: CrawlStore, number: int, batch: int | None = None, last=None):
-        self.store, self.number, self.batch, self.last = store, number, batch, last
+    def __init__(
+        self,
+        store: CrawlStore,
+        number: int,
+        batch: int | None = None,
+        last: T.Row | None = None,
+        rewrites: bool = False,
+    ):
+        self.store, self.number, self.batch = store, number, batch
+        self.last, self.rewrites = last, rewrites
 
     def _put(self, df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").parquet(path)
@@ -263,7 +277,7 @@ class Run:
         )
         now = {r.t: r.id or 0 for r in highest.collect()}
         ids = {t: max(before[t], now[t]) for t in NUMBERED}
-        row = (self.number, base, self.batch, *ids.values())
+        row = (self.number, base, self.rewrites, self.batch, *ids.values())
         self._put(
             self.store.spark.createDataFrame([row], COMMIT).coalesce(1),
             f"{self.store.root}/commit/run={self.number}",
