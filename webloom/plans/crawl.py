@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from webloom import schemas
 from webloom.functions import html, text, urls
-from webloom.operators import frontier, links, lookups, pages, robots, sitemap, tables
+from webloom.operators import frontier, links, pages, robots, sitemap, tables
 from webloom.operators.joins import hot_key_join, with_ids
 from webloom.plans.store import FRONTIER, VISITED, CrawlStore, Run
 
