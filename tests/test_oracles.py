@@ -4,6 +4,8 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry
+from webloom.plans.oracles import ORACLES
+from webloom.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # The whole crawls have tests of their own; one of them stands for all here.
@@ -15,11 +17,12 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - LONG))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LONG))
 def test_query(spark, con, name):
-    assert difference(spark, con, SF, entry.queries()[name], entry.oracle_sql()[name]) is None
+    assert difference(spark, con, SF, QUERIES[name], ORACLES[name]) is None
 
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["domain", "n_new", "first_url"]
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
