@@ -12,4 +12,26 @@ ORACLES = {
                doc_id = first_value(doc_id) OVER w AS kept, h AS text_sha256
         FROM t WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)
     """,
+    "op7_line_dedup": r"""
+        WITH numbered AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+        line AS (
+            SELECT doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS pos
+            FROM numbered),
+        keyed AS (
+            SELECT *, translate(
+                regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM line),
+        holder AS (
+            SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10
+            GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+        judged AS (
+            SELECT k.*, coalesce(h.first <> k.doc_id, false) AS gone
+            FROM keyed k LEFT JOIN holder h USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), ''))
+                   AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
 }

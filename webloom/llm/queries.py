@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import exact_dedup, sharding
+from webloom.llm import exact_dedup, line_dedup, sharding, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +20,18 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup_lines(_table(spark, sf_dir, "documents")))
+
+
+def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), vocabulary)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_line_dedup": op7_line_dedup,
+    "op10_token_count": op10_token_count,
 }
