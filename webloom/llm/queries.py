@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import exact_dedup, line_dedup, sharding, token_count
+from webloom.llm import exact_dedup, line_dedup, sharding, simhash, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(_table(spark, sf_dir, "documents")))
 
@@ -32,6 +36,7 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_simhash": op5_simhash,
     "op7_line_dedup": op7_line_dedup,
     "op10_token_count": op10_token_count,
 }
