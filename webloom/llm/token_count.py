@@ -20,10 +20,27 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from webloom.llm.common import map_arrow, utf8
 
+REMEMBER = 300_000  # pieces whose count a task keeps at most, twice
+REMEMBER_LENGTH = 32
 # Fixed value: the split pattern of byte-level vocabularies of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBER = 400_000  # pieces whose count a task keeps at most
-REMEMBER_LENGTH = 32
+
+
+def unassigned() -> tuple[str, str]:
+    """Character classes: the code points without a category in Python's tables, and all from the first.
+
+    The pattern's tables are newer than the library's and may call some of them letters,
+    so a text that holds one is cut by the library's own splitter.
+    """
+    ranges: list[list[int]] = []
+    for c in range(0x400, 0x110000):  # the older blocks are settled
+        if unicodedata.category(chr(c)) == "Cn":
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    inside = "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
+    return f"[{inside}]", f"[{chr(ranges[0][0])}-\U0010ffff]"
 
 
 def byte_symbols() -> list[str]:
@@ -47,88 +64,82 @@ class MergeRules:
         if definition["normalizer"] or splitter["add_prefix_space"] or not splitter["use_regex"]:
             raise ValueError("vocabularies with a normalizer or prefix space are not supported")
         number = {s: i for i, s in enumerate(byte_symbols())}
-        self.ranks: dict[int, tuple[int, int]] = {}
+        self.ranks: dict[int, int] = {}  # by left << 32 | right
+        self.joined: list[int] = []  # by rank
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            joined = number.setdefault(left + right, len(number))
-            self.ranks[number[left] << 32 | number[right]] = (rank, joined)
+            self.joined.append(number.setdefault(left + right, len(number)))
+            self.ranks.setdefault(number[left] << 32 | number[right], rank)
         added = definition["added_tokens"]
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
             raise ValueError("added tokens with stripping or word rules are not supported")
         # Where several could start at one place, the longest counts.
         contents = sorted((t["content"] for t in added), key=len, reverse=True)
-        self.special = "|".join(map(regex.escape, contents))
+        self.special = "|".join(map(re.escape, contents))
 
     def count(self, piece: bytes) -> int:
         """How many symbols are left of ``piece`` once no pair can be merged."""
-        ranks, symbols, n = self.ranks, list(piece), len(piece)
+        get, joined, n = self.ranks.get, self.joined, len(piece)
+        symbols = list(piece)
+        # The rank of each symbol and its right neighbour now, or None.
+        ranks = [get(a << 32 | b) for a, b in zip(symbols, symbols[1:], strict=False)]
+        heap = [r << 32 | i for i, r in enumerate(ranks) if r is not None]
+        if not heap:
+            return n
+        ranks.append(None)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            rule = ranks.get(symbols[i] << 32 | symbols[i + 1])
-            if rule:
-                heap.append((rule[0], i, rule[1], symbols[i], symbols[i + 1]))
         heapq.heapify(heap)
         merges = 0
         while heap:
-            _, i, joined, left, right = heapq.heappop(heap)
-            j = after[i]
-            # A neighbour may have been merged since: the pair must still be there.
-            if symbols[i] != left or j >= n or symbols[j] != right:
-                continue
+            lowest = heapq.heappop(heap)
+            i = lowest & 0xFFFFFFFF
+            if ranks[i] != lowest >> 32:
+                continue  # a neighbour has been merged since
             merges += 1
-            symbols[i], symbols[j] = joined, -1
+            whole = symbols[i] = joined[lowest >> 32]
+            j = after[i]
+            ranks[j] = None
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                rule = ranks.get(joined << 32 | symbols[k])
-                if rule:
-                    heapq.heappush(heap, (rule[0], i, rule[1], joined, symbols[k]))
+                r = ranks[i] = get(whole << 32 | symbols[k])
+                if r is not None:
+                    heapq.heappush(heap, r << 32 | i)
+            else:
+                ranks[i] = None
             h = before[i]
             if h >= 0:
-                rule = ranks.get(symbols[h] << 32 | joined)
-                if rule:
-                    heapq.heappush(heap, (rule[0], h, rule[1], symbols[h], joined))
+                r = ranks[h] = get(symbols[h] << 32 | whole)
+                if r is not None:
+                    heapq.heappush(heap, r << 32 | h)
         return n - merges
 
 
-def unassigned() -> str:
-    """A character class of the code points without a category in Python's tables.
-
-    The pattern's tables are newer than the library's and may call some of them letters,
-    so a text that holds one is cut by the library's own splitter.
-    """
-    ranges: list[list[int]] = []
-    for c in range(0x110000):
-        if unicodedata.category(chr(c)) == "Cn":
-            if ranges and ranges[-1][1] == c - 1:
-                ranges[-1][1] = c
-            else:
-                ranges.append([c, c])
-    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) + "]"
-
-
 class Counter:
     """Counts whole texts; remembers the counts of short pieces up to a fixed number."""
 
     def __init__(self, rules: MergeRules):
         self.rules, self.split = rules, regex.compile(SPLIT)
-        self.special = regex.compile(rules.special) if rules.special else None
-        self.unknown = re.compile(unassigned())
+        self.special = re.compile(rules.special) if rules.special else None
+        unknown, high = unassigned()
+        self.unknown, self.high = re.compile(unknown), re.compile(high)
         self.slow_split = ByteLevel(add_prefix_space=False, use_regex=True)
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def pieces(self, text: str) -> list[str]:
-        if not text.isascii() and self.unknown.search(text):
+        if not text.isascii() and self.high.search(text) and self.unknown.search(text):
             spans = (span for _, span in self.slow_split.pre_tokenize_str(text))
             return [text[start:end] for start, end in spans]
         return self.split.findall(text)
 
     def _piece(self, piece: str) -> int:
-        n = self.rules.count(piece.encode())
+        n = self.older.get(piece)
+        if n is None:
+            n = self.rules.count(piece.encode())
         if len(piece) <= REMEMBER_LENGTH:
             if len(self.known) >= REMEMBER:
-                self.known.clear()
+                self.known, self.older = {}, self.known  # what is in use comes back from there
             self.known[piece] = n
         return n
 
@@ -139,17 +150,8 @@ class Counter:
         return self._plain(text)
 
     def _plain(self, text: str) -> int:
-        get, total, missing = self.known.get, 0, []
-        for piece in self.pieces(text):
-            n = get(piece)
-            if n is None:
-                missing.append(piece)
-            else:
-                total += n
-        for piece in missing:
-            n = get(piece)
-            total += self._piece(piece) if n is None else n
-        return total
+        get, look = self.known.get, self._piece
+        return sum([get(piece) or look(piece) for piece in self.pieces(text)])
 
 
 _counters: dict[str, Counter] = {}
