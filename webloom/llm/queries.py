@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import exact_dedup, line_dedup, sharding, simhash, token_count
+from webloom.llm import exact_dedup, language, line_dedup, pieces, sharding, simhash, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(_table(spark, sf_dir, "documents")))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.Model(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.round_trips(_table(spark, sf_dir, "documents"), model)
+
+
 def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), vocabulary)
@@ -35,8 +44,10 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash": op5_simhash,
     "op7_line_dedup": op7_line_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_token_count": op10_token_count,
 }
