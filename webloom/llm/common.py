@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.operators.joins import shared_folder
@@ -48,6 +49,55 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
+GROUP = ["key", "low", "high"]
+
+
+def deal_buckets(keyed: DataFrame, spread: str, block: int, useful: Column | None = None) -> DataFrame:
+    """Rows that share a ``key`` with others, sorted so that those of a group lie together.
+
+    A bucket of more than ``block`` rows is dealt to blocks by the hash of ``spread``, and
+    every two of its blocks form a group: all its rows meet, but no task holds a whole
+    large bucket. ``useful`` is a condition on the bucket's aggregates. Groups are
+    told apart by ``GROUP``.
+    """
+    wanted = F.count("*") > 1 if useful is None else (F.count("*") > 1) & useful
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), wanted.alias("_wanted"))
+    sizes = stage(sizes.where("_wanted").select("key", "n"), "buckets")
+    many = F.ceil(F.col("n") / block).cast("int")
+    dealt = (
+        keyed.join(sizes, "key")
+        .withColumn("_own", F.pmod(F.xxhash64(spread), many).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), many - 1)))
+        .withColumns({"low": F.least("_own", "_other"), "high": F.greatest("_own", "_other")})
+        .drop("n", "_own", "_other")
+    )
+    return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The rows of ``deal_buckets`` as tables of whole groups, and where the groups begin and end."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table])
+        if not table.num_rows:
+            continue
+        bounds = _bounds(table)
+        last = int(bounds[-2])
+        if last:
+            yield table.slice(0, last).combine_chunks(), bounds[:-1]
+        held = table.slice(last).combine_chunks()
+    if held is not None:
+        yield held, _bounds(held)
+
+
+def _bounds(table: pa.Table) -> np.ndarray:
+    marks = np.stack([table[c].to_numpy() for c in GROUP], axis=1)
+    edges = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
+    return np.concatenate([[0], edges, [table.num_rows]])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, root), root the smallest node.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import exact_dedup, language, line_dedup, pieces, sharding, simhash, token_count
+from webloom.llm import embeddings, exact_dedup, language, line_dedup, pieces, sharding, simhash, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trips(_table(spark, sf_dir, "documents"), model)
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), vocabulary)
@@ -49,5 +53,6 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_token_count": op10_token_count,
 }

@@ -17,7 +17,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import components, map_arrow, stage, utf8
+from webloom.llm.common import (
+    GROUP,
+    components,
+    deal_buckets,
+    map_arrow,
+    stage,
+    utf8,
+    whole_groups,
+)
 
 SEED = 42
 BLOCK = 2_000  # fingerprints of one key that a task compares with as many others
@@ -114,33 +122,6 @@ class Pairs:
         return links
 
 
-def _runs(batches: Iterator[pa.RecordBatch], segments: int):
-    """(starts, fps, bounds) with whole runs of equal (key, low, high) only, batch by batch."""
-    held: pa.Table | None = None
-
-    def cut(table: pa.Table):
-        marks = np.stack([table[c].to_numpy() for c in ("key", "low", "high")], axis=1)
-        edges = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
-        return marks, np.concatenate([[0], edges, [table.num_rows]])
-
-    def arrays(table: pa.Table, marks: np.ndarray, bounds: np.ndarray):
-        packed = b"".join(table["fp"].to_pylist())
-        return marks[:, 0] >> 48, np.frombuffer(packed, np.uint8).reshape(-1, segments), bounds
-
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
-        if not table.num_rows:
-            continue
-        marks, bounds = cut(table)
-        last = int(bounds[-2])
-        held = table.slice(last)
-        if last:
-            yield arrays(table.slice(0, last), marks[:last], bounds[:-1])
-    if held is not None:
-        yield arrays(held, *cut(held))
-
-
 def links(classes: DataFrame, segments: int, distance: int, run: int) -> DataFrame:
     """(a, b): links between distinct fingerprints ``fp`` that join all that are within ``distance``.
 
@@ -156,29 +137,21 @@ def links(classes: DataFrame, segments: int, distance: int, run: int) -> DataFra
     keyed = classes.select("fp", starts).select(
         "fp", (F.shiftleft(F.col("start").cast("bigint"), 48) + value).alias("key")
     )
-    sizes = stage(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    many = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = (
-        keyed.join(sizes, "key")
-        .withColumn("own", F.pmod(F.xxhash64("fp"), many).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), many - 1)))
-        .select("key", "fp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    )
-    group = ["key", "low", "high"]
-    sorted_ = dealt.repartition(*group).sortWithinPartitions(*group)
+    dealt = deal_buckets(keyed, "fp", BLOCK)
     pairs = Pairs(segments, distance)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for starts_, fps, bounds in _runs(batches, segments):
+        for table, bounds in whole_groups(batches):
+            starts_ = table["key"].to_numpy() >> 48
+            fps = np.frombuffer(b"".join(table["fp"].to_pylist()), np.uint8).reshape(-1, segments)
             a, b = [], []
             for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-                if high - low > 1:
-                    for x, y in pairs.forest(fps[low:high], int(starts_[low])):
-                        a.append(fps[low + x].tobytes())
-                        b.append(fps[low + y].tobytes())
+                for x, y in pairs.forest(fps[low:high], int(starts_[low])):
+                    a.append(fps[low + x].tobytes())
+                    b.append(fps[low + y].tobytes())
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return sorted_.select("key", "low", "high", "fp").mapInArrow(find, "a binary, b binary")
+    return dealt.select(*GROUP, "fp").mapInArrow(find, "a binary, b binary")
 
 
 def near_duplicates(
