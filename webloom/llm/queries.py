@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import embeddings, exact_dedup, language, line_dedup, pieces, sharding, simhash, token_count
+from webloom.llm import embeddings, exact_dedup, language, line_dedup, pieces, sharding, simhash, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(_table(spark, sf_dir, "documents")))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash": op5_simhash,
+    "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_embedding_dedup": op9_embedding_dedup,
