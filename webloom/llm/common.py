@@ -44,6 +44,14 @@ def map_arrow(
     return df.select(*columns).mapInArrow(batches, schema)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The bytes of a text column; null counts as empty."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]

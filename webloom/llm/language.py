@@ -185,6 +185,23 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return map_arrow(docs, [id_col, text_col], body, schema).withColumnRenamed("id", id_col)
 
 
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is known and not ambiguous."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def clear(text: str | None) -> bool:
+        m: Model = shared.value
+        if not m.languages or text is None or not has_letter(text):
+            return False
+        return not m.decode(m.margins(text))[2]
+
+    def batches(parts):
+        for part in parts:
+            yield part.filter(pa.array(map(clear, part.column(at).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(batches, docs.schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows kept from training: crc32 of the id as text leaves 2 modulo 4."""
     remainder = F.crc32(F.col(id_col).cast("string").cast("binary")) % 4

@@ -10,14 +10,16 @@ level are merged into one of the next, so a batch meets few runs.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from webloom.llm.common import WHITE, map_arrow, stage, staged_path, utf8
+from webloom.llm.common import WHITE, fresh, map_arrow, stage, staged_path, utf8
 
 MIN_CHARS = 10
 FANOUT = 3
@@ -137,6 +139,43 @@ def lost_lines(
     return _union(lost).groupBy("id").agg(F.collect_set("h").alias("lost"))
 
 
+def drop_lines(
+    docs: DataFrame, lost: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, str, str]:
+    """``docs``, all columns, without the lines of ``lost`` (id, lost); the names of two counts.
+
+    The counts are the lines before, and the lines that went. A null text stays null.
+    """
+    key, gone = fresh(docs, "key"), fresh(docs, "lost")
+    before, went = fresh(docs, "n_lines"), fresh(docs, "n_dropped")
+    named = lost.select(F.col("id").alias(key), F.col("lost").alias(gone))
+    both = docs.withColumn(key, F.coalesce(F.col(id_col), F.lit(2**63 - 1))).join(named, key, "left")
+    names, at = docs.columns, docs.columns.index(text_col)
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            n_lines, n_dropped, kept = [], [], []
+            texts, away = utf8(part.column(at)), part.column(len(names)).to_pylist()
+            for text, hashes in zip(texts, away, strict=True):
+                lines = text.split(b"\n")
+                stay = lines
+                if hashes:
+                    found = set(hashes)
+                    stay = [line for line in lines if line_key(line) not in found]
+                n_lines.append(len(lines))
+                n_dropped.append(len(lines) - len(stay))
+                kept.append(b"\n".join(stay))
+            text = pa.array(kept, pa.binary(), mask=part.column(at).is_null().to_numpy(zero_copy_only=False))
+            columns = [*part.columns[:-1], pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
+            columns[at] = text.cast(pa.string())
+            yield pa.RecordBatch.from_arrays(columns, [*names, before, went])
+
+    schema = T.StructType(
+        [*docs.schema, T.StructField(before, T.LongType()), T.StructField(went, T.LongType())]
+    )
+    return both.select(*names, gone).mapInArrow(batches, schema), before, went
+
+
 def dedup_lines(
     docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -150,33 +189,14 @@ def dedup_lines(
     not read.
     """
     lost = lost_lines(docs, batches, id_col, text_col)
-    key = F.coalesce(F.col(id_col), F.lit(2**63 - 1))
-    both = docs.select(
-        F.col(id_col).alias("given"), key.alias("id"), F.col(text_col).alias("text")
-    ).join(lost, "id", "left")
-
-    def body(part: pa.RecordBatch) -> dict:
-        n_lines, n_dropped, kept = [], [], []
-        for text, gone in zip(utf8(part.column(1)), part.column(2).to_pylist(), strict=True):
-            lines = text.split(b"\n")
-            stay = lines
-            if gone:
-                away = set(gone)
-                stay = [line for line in lines if line_key(line) not in away]
-            n_lines.append(len(lines))
-            n_dropped.append(len(lines) - len(stay))
-            kept.append(b"\n".join(stay))
-        return {
-            "id": part.column(0).cast(pa.int64()),
-            "n_lines": pa.array(n_lines, pa.int64()),
-            "n_dropped": pa.array(n_dropped, pa.int64()),
-            "kept": pa.array(kept, pa.binary()).cast(pa.string()),
-        }
-
-    return map_arrow(
-        both, ["given", "text", "lost"], body,
-        "id bigint, n_lines bigint, n_dropped bigint, kept string",
-    ).withColumnRenamed("id", id_col)
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("kept"))
+    out, before, went = drop_lines(narrow, lost, "id", "kept")
+    return out.select(
+        F.col("id").alias(id_col),
+        F.col(before).alias("n_lines"),
+        F.col(went).alias("n_dropped"),
+        F.coalesce("kept", F.lit("")).alias("kept"),
+    )
 
 
 def digest(kept: DataFrame) -> DataFrame:

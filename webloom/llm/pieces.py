@@ -259,12 +259,19 @@ def round_trips(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     ``round_trip``: the decoded text is the text (markers in it read as spaces); null
     where the text is null.
     """
-    both = decode(encode(docs, model, id_col, text_col), model)
+    return checked(decode(encode(docs, model, id_col, text_col), model), model).drop("ids").withColumnRenamed(
+        "id", id_col
+    )
+
+
+def checked(decoded: DataFrame, model: Model) -> DataFrame:
+    """``decode``'s rows as (id, ids, n_pieces, n_byte_pieces, ids_hash, decoded_sha256, round_trip)."""
     kinds = model.shared.value[0].kinds
     byte_ids = [i for i, k in enumerate(kinds) if k == formats.ModelProto.SentencePiece.BYTE]
     low, high = min(byte_ids), max(byte_ids)  # byte pieces lie together in such files
-    return both.select(
-        F.col("id").alias(id_col),
+    return decoded.select(
+        "id",
+        "ids",
         F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_pieces"),
         F.coalesce(F.size(F.filter("ids", lambda i: i.between(low, high))), F.lit(0))
         .cast("bigint")
