@@ -73,6 +73,8 @@ class Domains:
 
 def softmax_regression(x: np.ndarray, domain: np.ndarray, domains: int) -> tuple[np.ndarray, np.ndarray]:
     """(weights, bias) by accelerated gradient steps; classes weigh alike, weights are shrunk."""
+    if not x.size:
+        return np.zeros((x.shape[1], domains), np.float32), np.zeros(domains, np.float32)
     y = np.eye(domains, dtype=np.float32)[domain]
     weigh = (1 / np.maximum(1, y.sum(axis=0)))[domain][:, None] / domains
     w = ahead = np.zeros((x.shape[1], domains), np.float32)
