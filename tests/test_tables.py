@@ -15,7 +15,7 @@ def test_hot_keys_are_spread_and_nothing_is_lost(spark):
         F.col("id").alias("v"),
     )
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("unused", 4)], "k string, x int")
-    assert [(r["k"], r["_salts"]) for r in joins.hot_keys(left, "k", 100).collect()] == [("hot", 10)]
+    assert [r["_salts"] for r in joins.hot_keys(left, "k", 100).collect()] == [10]
     for how in ("left", "inner", "left_semi", "left_anti"):
         plain = left.join(right, "k", how)
         spread = joins.hot_key_join(left, right, "k", "v", how, rows_per_task=100)

@@ -17,12 +17,13 @@ _NAME_AND_VALUE = rf"([^\s/>][^\s/=>]*+)(?:\s*+=\s*+({_VALUE})?+)?+"
 
 def _token_pattern(names: list[str]) -> str:
     """Start tags of the given names; comments and scripts match as a whole,
-    so that tags inside them are passed over."""
+    so that tags inside them are passed over. What the text's end leaves open matches
+    up to there, or every further '<' would search the rest again."""
     return (
         # One leading '<' for all cases: other characters fail at the first test.
         r"(?is)<(?:!--.*?(?:-->|\z)"
-        rf"|(script|style)(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1\s*>|\z)"
-        rf"|(?:{'|'.join(names)})(?=[\s/>]){_ATTRIBUTES}>)"
+        rf"|(script|style)(?=[\s/>]){_ATTRIBUTES}(?:\z|>.*?(?:</\1\s*>|\z))"
+        rf"|(?:{'|'.join(names)})(?=[\s/>]){_ATTRIBUTES}(?:\z|>))"
     )
 
 
@@ -58,7 +59,8 @@ def tags(html: Column, names: tuple[str, ...] = ("a", "link", "img", "base")) ->
     """
     wanted = [n.lower() for n in names]
     tokens = F.regexp_extract_all(html, F.lit(_token_pattern(wanted)), F.lit(0))
-    kept = F.filter(tokens, lambda t: t.rlike(rf"^<(?i:{'|'.join(wanted)})[\s/>]"))
+    whole = lambda t: F.endswith(t, F.lit(">"))
+    kept = F.filter(tokens, lambda t: whole(t) & t.rlike(rf"^<(?i:{'|'.join(wanted)})[\s/>]"))
     return F.transform(kept, _parse)
 
 
@@ -93,11 +95,6 @@ def explode_tags(pages: DataFrame, tag_array: str = "tags") -> DataFrame:
     return exploded.where("pos is not null").select(*rest, "pos", "_tag.*")
 
 
-def tag_rows(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
-    """Tag rows straight from pages; the HTML goes no further than this projection."""
-    return explode_tags(pages.select(*keys, tags(F.col(html)).alias("tags")))
-
-
 def locations(xml: Column) -> Column:
     """Texts of the ``<loc>`` elements of a sitemap, in order."""
     found = F.regexp_extract_all(xml, F.lit(r"(?is)<loc(?=[\s/>])[^>]*>(.*?)</loc\s*>"), F.lit(1))

@@ -2,29 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 ROWS_PER_TASK = 1_000_000
+MAX_HOT = 10_000
 ID_BUCKETS = 65_536
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows, and over how many tasks to spread each.
+    """Hashes of the keys with most rows, and over how many tasks to spread each.
 
-    Counts are combined before the shuffle. The result has at most
-    rows / ``rows_per_task`` rows, so it is safe to broadcast: 10^12 rows give
-    no more than a million short keys.
+    Keys of more than ``rows_per_task`` rows, the ``MAX_HOT`` largest of them: any other
+    key has less than one row in ``MAX_HOT`` of all. So the result may be broadcast,
+    whatever the data: it has at most ``MAX_HOT`` rows of two numbers. Counts are
+    combined before the shuffle. Keys that share a hash are spread alike.
     """
-    return (
+    largest = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > rows_per_task)
-        .select(key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
+        .orderBy(F.desc("_n"))
+        .limit(MAX_HOT)
+    )
+    return largest.groupBy(F.xxhash64(key).alias("_hot")).agg(
+        F.max(F.ceil(F.col("_n") / rows_per_task)).cast("int").alias("_salts")
     )
 
 
@@ -44,15 +48,15 @@ def hot_key_join(
     is cheap to read again.
     """
     hot = F.broadcast(hot_keys(left.select(key), key, rows_per_task))
-    salted_left = left.join(hot, key, "left").withColumn(
+    salted_left = left.join(hot, F.xxhash64(left[key]) == hot["_hot"], "left").withColumn(
         "_salt",
         F.when(
             F.col("_salts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int")
         ).otherwise(0),
-    ).drop("_salts")
-    salted_right = right.join(hot, key, "left").withColumn(
+    ).drop("_hot", "_salts")
+    salted_right = right.join(hot, F.xxhash64(right[key]) == hot["_hot"], "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    ).drop("_salts")
+    ).drop("_hot", "_salts")
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
 
 
@@ -86,12 +90,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir`` where it is set."""
+    """The folder for intermediate tables: ``spark.checkpoint.dir`` where it is set.
+
+    Else one in the warehouse, which all executors share as well.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="webloom-")
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stage"

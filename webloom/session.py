@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,7 @@ def local_session(app: str = "webloom", cpus: int | None = None) -> SparkSession
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="webloom-"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
