@@ -101,6 +101,25 @@ def test_batch_rerun_and_compaction(spark, store):
     assert sorted(r.code for r in store.table("page_type").collect()) == sorted(schemas.SEED_PAGE_TYPES)
 
 
+def test_a_dead_attempt_counts_for_nothing(spark, store, monkeypatch):
+    seed(store, *[r[0] for r in BATCH])
+    rows = fetches(spark, *BATCH)
+    with monkeypatch.context() as patch:
+        def die(*_):
+            raise RuntimeError("lost")
+
+        patch.setattr("webloom.plans.crawl.accepted_tags", die)  # page rows are written by then
+        with pytest.raises(RuntimeError):
+            process_batch(store, rows, CRAWL, batch=0)
+    seed(store, f"{H}/later/")  # takes the number of the dead run
+    assert process_batch(store, rows, CRAWL, batch=0) is not None
+    assert types(store).pop(f"{H}/later/") == "FRONTIER"
+    images = sorted((r.filename, r.content_type) for r in store.table("image").collect())
+    assert images == [("k.gif", "GIF"), ("p.png", "PNG")]
+    assert store.link().count() > 0
+    assert quality.constraint_report(store.tables()).where("violations > 0").collect() == []
+
+
 def test_links_of_copies_are_repointed(spark, store):
     seed(store, f"{H}/9/")
     process_batch(store, fetches(spark, (f"{H}/9/", f"<a href='{H}/1'><a href='{H}/2'><a href='{H}/3'>", 200)), CRAWL)

@@ -9,7 +9,9 @@ from webloom.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # The whole crawls have tests of their own; one of them stands for all here.
-LONG = {"crawl_links", "redirect_pass", "stream_crawl"}
+LONG = {
+    "crawl_links", "redirect_pass", "stream_crawl", "stored_images", "stored_documents", "access_times",
+}
 
 
 @pytest.fixture(scope="module")

@@ -66,5 +66,25 @@ def test_nested_sitemaps_and_cycle(spark):
     got = sitemap.expand_sitemaps(files, OK)
     assert sorted(map(tuple, got.collect())) == [("h.example.com", h + u) for u in ("feed.xml", "p1", "p2", "p3")]
     texts = sitemap.sitemap_texts(got, "authority").collect()
-    assert [tuple(r) for r in texts] == [("h.example.com", "\n".join(h + u for u in ("feed.xml", "p1", "p2", "p3")))]
-    assert [tuple(r) for r in sitemap.sitemap_texts(got, "authority", max_text=50).collect()] == [("h.example.com", None)]
+    assert [tuple(r) for r in texts] == [("h.example.com", 0, "\n".join(h + u for u in ("feed.xml", "p1", "p2", "p3")))]
+
+
+def test_sitemap_of_a_huge_site_comes_in_parts(spark):
+    many = spark.range(2_503).selectExpr("'big' AS authority", "format_string('https://big/%05d', id) AS url")
+    few = spark.createDataFrame([("a", "https://a/1"), ("z", "https://z/1"), ("z", "https://z/2")], many.schema)
+    parts = sitemap.sitemap_texts(many.union(few), "authority", per_part=100).collect()
+    found = {(r.authority, r.part): r.sitemap_content.split("\n") for r in parts}
+    assert found["a", 0] == ["https://a/1"] and found["z", 0] == ["https://z/1", "https://z/2"]
+    assert len(found) == 26 + 2
+    for n in range(26):
+        assert found["big", n] == [f"https://big/{i:05d}" for i in range(100 * n, min(2503, 100 * n + 100))]
+
+
+def test_redirected_robots_file_leaves_its_rules(spark):
+    files = spark.createDataFrame(
+        [("a", "robots.txt", 301, "User-agent: *\nDisallow: /x"), ("b", "robots.txt", 302, None),
+         ("c", "robots.txt", 403, "")], SITE_FILE)
+    asked = spark.createDataFrame([(f"https://{h}/{p}",) for h in "abc" for p in "xy"], "url string")
+    got = {r.url: r.allowed for r in robots.with_robots(asked, robots.robots_policy(files, OK)).collect()}
+    assert got == {"https://a/x": False, "https://a/y": True, "https://b/x": True, "https://b/y": True,
+                   "https://c/x": False, "https://c/y": False}

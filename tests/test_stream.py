@@ -19,6 +19,22 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     check_batch(CrawlStore(spark, store.root))
 
 
+def test_two_streams_fill_one_store(spark, tmp_path):
+    """Each has batch numbers of its own, also after the store was compacted."""
+    store = CrawlStore.create(spark, str(tmp_path / "store"))
+    seed(store, *[r[0] for r in BATCH])
+    rows = fetches(spark, *BATCH)
+    parts = rows.where("url < 'https://h.example.com/4'"), rows.where("url >= 'https://h.example.com/4'")
+    for name, part in zip("ab", parts, strict=True):
+        part.write.parquet(str(tmp_path / name))
+        stream = readers.fetched_page_stream(spark, str(tmp_path / name), files_per_batch=100)
+        start_crawl(stream, store, CRAWL, str(tmp_path / f"progress-{name}"), once=True).awaitTermination()
+        store.compact()
+    check_batch(CrawlStore(spark, store.root))
+    batches = store.commits()[-1].batches
+    assert len(batches) == 2 and set(batches.values()) == {0}
+
+
 def test_distinct_stream(spark, tmp_path):
     arrivals, out = str(tmp_path / "in"), str(tmp_path / "out")
     for _ in range(2):

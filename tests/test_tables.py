@@ -91,9 +91,9 @@ def test_orphans_count_child_rows(spark):
 
 def test_images_and_documents_are_appended(spark):
     fresh = tables.empty_tables(spark)
-    new = spark.sql("select 5L page_id, 'a.png' filename, 'PNG' content_type, timestamp_ntz'2020-01-01' accessed_time")
+    new = spark.sql("select 5L page_id, 0 pos, 'a.png' filename, 'PNG' content_type, timestamp_ntz'2020-01-01' accessed_time")
     once = tables.insert_images(fresh["image"], new)
     twice = tables.insert_images(once, new).collect()
     assert len({r.id for r in twice}) == 2 and {(r.page_id, r.filename, r.data) for r in twice} == {(5, "a.png", None)}
-    docs = tables.insert_documents(fresh["page_data"], spark.sql("select 5L page_id, 'pdf' data_type_code"))
+    docs = tables.insert_documents(fresh["page_data"], spark.sql("select 5L page_id, 1 pos, 'pdf' data_type_code"))
     assert [(r.page_id, r.data_type_code, r.data) for r in docs.collect()] == [(5, "pdf", None)]

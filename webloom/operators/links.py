@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import html, urls
+from webloom.operators.joins import hot_key_join
 
 
 def is_link() -> Column:
@@ -81,7 +82,10 @@ def in_scope_links(targets: DataFrame, scope: str | list[str]) -> DataFrame:
 def page_links(edges: DataFrame, ids: DataFrame) -> DataFrame:
     """Link rows (``from_page``, ``to_page``) for edges (``page_id``, ``url``) by the id of the URL."""
     return (
-        edges.join(ids.select("url", F.col("id").alias("to_page")), "url")
+        hot_key_join(
+            edges.select("page_id", "url").distinct(),
+            ids.select("url", F.col("id").alias("to_page")), "url", "page_id", "inner",
+        )
         .select(F.col("page_id").alias("from_page"), "to_page")
         .dropDuplicates()
     )

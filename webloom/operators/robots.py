@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from webloom import schemas
 from webloom.functions import urls
 from webloom.functions.html import visible_text
 from webloom.functions.text import percent_decode
@@ -103,8 +104,10 @@ def robots_policy(files: DataFrame, ok: list[int]) -> DataFrame:
     """One row per authority: its rules in file order, and what holds where none matches.
 
     A refused robots file (401, 403) closes the site, as does one that could not
-    be had for a fault of the server; other client errors leave it open.
+    be had for a fault of the server; other client errors leave it open. The body that a
+    redirect led to counts like a file; without one the site is open.
     """
+    ok = [*ok, *schemas.REDIRECTS]
     rules = (
         robots_rules(files, ok)
         .groupBy("authority")

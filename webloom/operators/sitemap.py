@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import html, urls
-from webloom.operators.joins import cut_lineage
+from webloom.operators.joins import cut_lineage, hot_key_join, numbered
 
 SITEMAP_PATH = "sitemap.xml"
-MAX_TEXT = 256 * 1024 * 1024
+PART_URLS = 10_000
 
 
 def sitemap_locations(files: DataFrame, ok: list[int]) -> DataFrame:
@@ -19,6 +19,13 @@ def sitemap_locations(files: DataFrame, ok: list[int]) -> DataFrame:
     ).select("authority", "path", html.locations(F.col("body")).alias("locs"))
 
 
+def _by_file(sites: DataFrame, files: DataFrame) -> DataFrame:
+    """``files`` of each row of ``sites`` (site, authority, path); many sites may name one file."""
+    file = F.struct("authority", "path").alias("_file")
+    found = files.select(file, *[c for c in files.columns if c not in ("authority", "path")])
+    return hot_key_join(sites.select("site", file), found, "_file", spread="site", how="inner")
+
+
 def expand_sitemaps(files: DataFrame, ok: list[int], roots: DataFrame | None = None) -> DataFrame:
     """``authority, url``: page URLs that the sitemap of each site names.
 
@@ -48,7 +55,7 @@ def expand_sitemaps(files: DataFrame, ok: list[int], roots: DataFrame | None = N
     reached = level = start
     while not nested.isEmpty():
         found = (
-            level.join(nested, ["authority", "path"])
+            _by_file(level, nested)
             .select("site", F.col("to_authority").alias("authority"), F.col("to_path").alias("path"))
             .distinct()
             .join(reached, ["site", "authority", "path"], "left_anti")
@@ -58,29 +65,30 @@ def expand_sitemaps(files: DataFrame, ok: list[int], roots: DataFrame | None = N
             break
         reached = reached.unionByName(level)
     return (
-        reached.join(located, ["authority", "path"])
+        _by_file(reached, located)
         .select(F.col("site").alias("authority"), F.explode("locs").alias("url"))
         .where(~urls.is_sitemap(F.col("url")))
         .distinct()
     )
 
 
-def sitemap_texts(site_urls: DataFrame, key: str, max_text: int = MAX_TEXT) -> DataFrame:
-    """``sitemap_content``: the sorted URLs of each site, one per line.
+def sitemap_texts(site_urls: DataFrame, key: str, per_part: int = PART_URLS) -> DataFrame:
+    """``part, sitemap_content``: the sorted URLs of each site, one per line, in numbered parts.
 
-    A site's text is built only where it fits into one value; a larger site gets
-    a null and is whole in ``site_urls``. Sizes are summed before anything is
-    gathered. At most total size / ``max_text`` sites are too large, so their
-    list is small enough to broadcast.
+    Every site has the same form: part n holds its URLs from the n * ``per_part``-th on.
+    The URLs (distinct per site) are numbered by a range sort, so a site of any size
+    fills many tasks, and no value is larger than one part.
     """
-    too_large = (
-        site_urls.groupBy(key)
-        .agg(F.sum(F.octet_length("url") + 1).alias("_size"))
-        .where(F.col("_size") > max_text)
-        .select(key)
-    )
-    fitting = site_urls.join(F.broadcast(too_large), key, "left_anti")
-    texts = fitting.groupBy(key).agg(
-        F.array_join(F.array_sort(F.collect_list("url")), "\n").alias("sitemap_content")
+    ordered = numbered(site_urls.select(key, "url"), [key, "url"], "_row")
+    first = ordered.groupBy(key).agg(F.min("_row").alias("_first"))
+    part = F.floor((F.col("_row") - F.col("_first")) / per_part).cast("int")
+    return (
+        hot_key_join(ordered, first, key, spread="url")
+        .groupBy(key, part.alias("part"))
+        .agg(F.array_join(F.array_sort(F.collect_list("url")), "\n").alias("sitemap_content"))
     )
-    return texts.unionByName(too_large.withColumn("sitemap_content", F.lit(None).cast("string")))
+
+
+def first_texts(texts: DataFrame) -> DataFrame:
+    """The first part of every site, which for most is all."""
+    return texts.where("part = 0").drop("part")

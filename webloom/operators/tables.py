@@ -71,14 +71,18 @@ def update_pages(page: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def insert_images(image: DataFrame, rows: DataFrame) -> DataFrame:
-    """The image table with rows (``page_id, filename, content_type, accessed_time``) appended."""
+    """The image table with rows (``page_id, pos, filename, content_type, accessed_time``) appended."""
     return image.unionByName(image_rows(rows, _next_id(image)))
 
 
+def _placed(rows: DataFrame, after: int) -> DataFrame:
+    """``rows`` with an id by page and position of the tag: the same in every run."""
+    return with_ids(rows.withColumn("_place", F.struct("page_id", "pos")), "_place", after)
+
+
 def image_rows(rows: DataFrame, after: int) -> DataFrame:
-    # Nothing refers to these ids, so the position in the written partition will do.
-    return rows.select(
-        (F.lit(after + 1) + F.monotonically_increasing_id()).alias("id"),
+    return _placed(rows, after).select(
+        "id",
         "page_id",
         "filename",
         "content_type",
@@ -88,13 +92,13 @@ def image_rows(rows: DataFrame, after: int) -> DataFrame:
 
 
 def insert_documents(page_data: DataFrame, rows: DataFrame) -> DataFrame:
-    """The document table with rows (``page_id, data_type_code``) appended."""
+    """The document table with rows (``page_id, pos, data_type_code``) appended."""
     return page_data.unionByName(document_rows(rows, _next_id(page_data)))
 
 
 def document_rows(rows: DataFrame, after: int) -> DataFrame:
-    return rows.select(
-        (F.lit(after + 1) + F.monotonically_increasing_id()).alias("id"),
+    return _placed(rows, after).select(
+        "id",
         "page_id",
         "data_type_code",
         F.lit(None).cast("binary").alias("data"),

@@ -64,7 +64,8 @@ def parse_fetches(fetches: DataFrame, crawl: Crawl) -> DataFrame:
         "url",
         moved.alias("final_url"),
         F.col("http_status_code").cast("int").alias("http_status_code"),
-        "accessed_time",
+        # A live fetch that bears no time was accessed now.
+        F.coalesce("accessed_time", F.localtimestamp()).alias("accessed_time"),
         text.content_hash(body).alias("html_content_hash"),
         text.content_digest(body).alias("html_sha256"),
         html.tags(body).alias("tags"),
@@ -169,9 +170,9 @@ def new_sites(
     after: int,
     stage=_as_is,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Site rows for domains that the store lacks, and the URLs of their sitemaps.
+    """Site rows for domains that the store lacks, and the texts of their sitemaps in parts.
 
-    A site's files are those of the host of its first page.
+    A site's files are those of the host of its first page. Its row holds the first part.
     """
     found = (
         routed.where(F.col("route") != "bad_request")
@@ -186,10 +187,11 @@ def new_sites(
         return with_ids(rows, "domain", after), None
     found = stage("domains", found)
     expanded = sitemap.expand_sitemaps(files, crawl.kind.file_ok, found)
-    listed = stage("listed", found.join(expanded, "authority").select("domain", "url"))
+    urls_of = hot_key_join(expanded, found, "authority", spread="url", how="inner")
+    listed = stage("listed", sitemap.sitemap_texts(urls_of.select("domain", "url"), "domain"))
     rows = (
         found.join(robots.robots_content(files, crawl.kind.file_ok), "authority", "left")
-        .join(sitemap.sitemap_texts(listed, "domain"), "domain", "left")
+        .join(sitemap.first_texts(listed), "domain", "left")
     )
     return with_ids(rows, "domain", after), listed
 
@@ -308,13 +310,15 @@ def process_batch(
     crawl: Crawl,
     files: DataFrame | None = None,
     batch: int | None = None,
+    stream: str = "",
 ) -> int | None:
     """Work fetched pages (``schemas.FETCH``) into the store; gives the run number.
 
     Pages that the store does not know or that cannot be read go to ``reject``,
-    visited ones are passed over, and a ``batch`` done before is left alone (None).
+    visited ones are passed over, and a ``batch`` of ``stream`` done before is left
+    alone (None).
     """
-    run = store.begin(batch, crawl.kind.redirects)
+    run = store.begin(batch, crawl.kind.redirects, stream)
     if run is None:
         return None
     ok = F.col("http_status_code").isin(crawl.kind.accepted) & F.col("html").isNotNull()
@@ -350,8 +354,8 @@ def _apply(
     rows, listed = new_sites(routed, store.table("site"), files, crawl, last.site_id, run.stage)
     run.write("site", rows)
     if listed is not None:
-        run.write("sitemap_url", listed)
-    site = store.log("site", also=run.number)
+        run.write("sitemap_text", listed)
+    site = store.log("site", also=run)
 
     decided = run.stage("decided", decide(routed, site, state, run.stage))
     run.write_pages(VISITED, page_updates(decided))
@@ -359,7 +363,7 @@ def _apply(
         run.write("repoint", repointed(decided, state))
 
     tags = run.stage("tags", accepted_tags(parsed, decided, crawl))
-    keys = ["page_id", "accessed_time"]
+    keys = ["page_id", "pos", "accessed_time"]
     run.write("image", tables.image_rows(links.images(tags, keys), last.image_id))
     run.write("page_data", tables.document_rows(links.documents(tags, keys), last.page_data_id))
 

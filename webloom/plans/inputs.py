@@ -80,7 +80,7 @@ authorities AS (
   FROM pages_xc GROUP BY 1),
 site_files AS (
   SELECT authority, 'robots.txt' AS path,
-    CASE m % 18 WHEN 2 THEN 404 WHEN 4 THEN 403 WHEN 6 THEN 500 ELSE 200 END AS status,
+    CASE m % 18 WHEN 2 THEN 404 WHEN 4 THEN 403 WHEN 6 THEN 500 WHEN 8 THEN 301 ELSE 200 END AS status,
     CASE m % 5
       WHEN 0 THEN 'User-agent: *' || chr(10) || 'Disallow: /' || chr(10)
       WHEN 1 THEN 'User-agent: bot' || chr(10) || 'Disallow: /' || chr(10) || chr(10)

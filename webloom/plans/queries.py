@@ -15,10 +15,10 @@ from webloom.functions import fetchlog, html, text, urls
 from webloom.operators import (
     frontier, links, lookups, pages, quality, robots, sitemap, tables,
 )
-from webloom.operators.joins import cut_lineage, shared_folder
+from webloom.operators.joins import cut_lineage, hot_key_join, shared_folder
 from webloom.plans import crawl, summary
 from webloom.plans.inputs import derived, fetched
-from webloom.plans.store import CrawlStore
+from webloom.plans.store import VISITED, CrawlStore
 from webloom.sources import readers
 from webloom.streaming.crawl_stream import start_crawl
 
@@ -288,7 +288,7 @@ def robots_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def robots_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return robots.robots_rules(derived(spark, sf_dir, "site_files"), OK)
+    return robots.robots_rules(derived(spark, sf_dir, "site_files"), OK_OR_MOVED)
 
 
 def robots_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -484,7 +484,7 @@ def _new_folder(spark, name: str) -> str:
 
 def _states(store: CrawlStore) -> DataFrame:
     site = store.table("site").select(F.col("id").alias("site_id"), "domain")
-    page = store.page().join(site, "site_id", "left")
+    page = hot_key_join(store.page(), site, "site_id", spread="url")  # a site may own half the pages
     return page.select("url", "page_type_code", "http_status_code", "html_content_hash", "domain")
 
 
@@ -512,6 +512,54 @@ def redirect_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_after_fault(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``page_states``, after an attempt that died with its page rows written."""
+    store = CrawlStore.create(spark, _new_folder(spark, "fault"))
+    x = derived(spark, sf_dir, "pages_xc")
+    store.add_frontier(x.select("url"))
+    dead = store.begin(batch=0)
+    pages_now = store.page_state().withColumn("page_type_code", F.lit(schemas.HTML))
+    dead.write_pages(VISITED, pages_now)
+    # Another run takes the dead one's number and commits.
+    store.add_frontier(x.select("url"))
+    crawl.process_batch(store, fetched(x), crawl.Crawl(SCOPE), _files(spark, sf_dir), batch=0)
+    return _states(store)
+
+
+def _stored(store: CrawlStore, table: str, *columns: str) -> DataFrame:
+    page = store.page().select(F.col("id").alias("page_id"), "url")
+    return store.table(table).join(page, "page_id").select("url", *columns)
+
+
+def stored_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(_crawled(spark, sf_dir), "image", "filename", "content_type")
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(_crawled(spark, sf_dir), "page_data", "data_type_code")
+
+
+def access_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When each visited page was accessed, to the second."""
+    page = _crawled(spark, sf_dir).page().where("accessed_time IS NOT NULL")
+    return page.select("url", F.date_format("accessed_time", "yyyy-MM-dd HH:mm:ss").alias("accessed"))
+
+
+def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetches without a URL or a status, and those of pages that the store doesn't know."""
+    store = CrawlStore.create(spark, _new_folder(spark, "rejects"))
+    store.add_frontier(derived(spark, sf_dir, "pages_x").select("url"))
+    x = derived(spark, sf_dir, "pages_xc")
+    broken = x.withColumns(
+        {
+            "url": F.when(F.col("page_id") % 19 != 4, F.col("url")),
+            "status": F.when(F.col("page_id") % 23 != 6, F.col("status")),
+        }
+    )
+    crawl.process_batch(store, fetched(broken), crawl.Crawl(SCOPE))
+    return store.table("reject")
+
+
 def stream_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``page_states``, with the pages arriving as a stream of files."""
     folder = _new_folder(spark, "stream")
@@ -521,12 +569,13 @@ def stream_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = x.approxQuantile("page_id", [0.5], 0.01)[0]
     early = F.col("page_id") <= half
     for part in (x.where(early), x.where(~early)):
-        fetched(part).coalesce(1).write.mode("append").parquet(f"{folder}/arrivals")
-    query = start_crawl(
-        readers.fetched_page_stream(spark, f"{folder}/arrivals", files_per_batch=1),
-        store, crawl.Crawl(SCOPE), f"{folder}/progress", _files(spark, sf_dir), once=True,
-    )
-    query.awaitTermination()
+        # Each part arrives and is worked in; the second start resumes after the first.
+        fetched(part).write.mode("append").parquet(f"{folder}/arrivals")
+        query = start_crawl(
+            readers.fetched_page_stream(spark, f"{folder}/arrivals", files_per_batch=10_000),
+            store, crawl.Crawl(SCOPE), f"{folder}/progress", _files(spark, sf_dir), once=True,
+        )
+        query.awaitTermination()
     store.refresh()
     return _states(store)
 
@@ -542,5 +591,6 @@ QUERIES = {
         robots_texts, sitemap_urls, sitemap_texts, page_scans, frontier_counts, page_lookups,
         frontier_insert, page_update, link_insert, repoint_links, dimension_upsert,
         constraint_report, page_states, crawl_links, redirect_pass, stream_crawl,
+        batch_after_fault, stored_images, stored_documents, access_times, rejects,
     )
 }

@@ -1,15 +1,16 @@
 """The crawl store: Parquet folders to which every batch only appends.
 
-``<root>/<table>/run=N`` holds what batch N added. A batch counts once its row in
-``<root>/commit`` is there, which is written last; a batch that died before is
-written over by its next attempt. A page that changes gets a further row and the
-latest one counts, so no batch rewrites what earlier ones stored. HTML lies in a
-table of its own, by content: the page table that joins and scans read stays
-narrow.
+``<root>/<table>/run=N/attempt=A`` holds what attempt A of batch N added. It counts once
+the batch's row in ``<root>/commit`` names it, which is written last; what a batch
+that died left behind is named by none and never read. A page that changes gets a
+further row and the latest one counts, so no batch rewrites what earlier ones stored.
+HTML lies in a table of its own, by content: the page table that joins and scans
+read stays narrow.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -28,7 +29,7 @@ LAYOUT: dict[str, str] = {
     "accessed_time timestamp_ntz, part string, run int",
     "html": "html_sha256 string, html string, run int",
     "site": "id bigint, domain string, robots_content string, sitemap_content string, run int",
-    "sitemap_url": "domain string, url string, run int",
+    "sitemap_text": "domain string, part int, sitemap_content string, run int",
     "image": "id bigint, page_id bigint, filename string, content_type string, "
     "data binary, accessed_time timestamp_ntz, run int",
     "page_data": "id bigint, page_id bigint, data_type_code string, data binary, run int",
@@ -38,9 +39,10 @@ LAYOUT: dict[str, str] = {
     "page_type": "code string, run int",
     "reject": "url string, reason string, run int",
 }
+# ``batches``: the last batch of every stream so far; each row takes them over from the one before.
 COMMIT = (
-    "run int, base boolean, rewrites boolean, batch bigint, page_id bigint, site_id bigint, image_id bigint, "
-    "page_data_id bigint"
+    "run int, attempt string, base boolean, rewrites boolean, batches map<string,bigint>, "
+    "page_id bigint, site_id bigint, image_id bigint, page_data_id bigint"
 )
 NUMBERED = ["page", "site", "image", "page_data"]
 VISITED, FRONTIER = "visited", "frontier"
@@ -87,9 +89,13 @@ class CrawlStore:
     def reset(self) -> None:
         """Empty all tables and put the seed codes back. Earlier runs stay on disk, unread."""
         run = Run(self, self._next_run())
-        for name, table in tables.empty_tables(self.spark).items():
-            if name in ("data_type", "page_type"):
-                run.write(name, table)
+        codes = tables.empty_tables(self.spark)
+        for name in LAYOUT:  # an empty part makes every table's folder
+            empty = self.spark.createDataFrame([], LAYOUT[name])
+            if name == "page":
+                run.write_pages(VISITED, empty)
+            else:
+                run.write(name, codes[name] if name in ("data_type", "page_type") else empty)
         run.commit(base=True)
 
     def _next_run(self) -> int:
@@ -97,44 +103,50 @@ class CrawlStore:
         done = self.commits()
         return done[-1].run + 1 if done else 0
 
-    def begin(self, batch: int | None = None, rewrites: bool = False) -> Run | None:
-        """The next run; None if ``batch`` was committed before.
+    def begin(
+        self, batch: int | None = None, rewrites: bool = False, stream: str = ""
+    ) -> Run | None:
+        """The next run; None if ``batch`` of ``stream`` was committed before.
 
-        ``rewrites`` tells that the run may change pages that were visited before.
+        The batch numbers of one stream rise; those of different streams have nothing to
+        do with each other. ``rewrites`` tells that the run may change pages that were
+        visited before.
         """
         self.refresh()
-        done = self.commits()
-        if batch is not None and any(r.batch == batch for r in done):
+        last = self.commits()[-1]
+        if batch is not None and batch <= (last.batches or {}).get(stream, -1):
             return None
-        return Run(self, done[-1].run + 1, batch, done[-1], rewrites)
+        done = {} if batch is None else {stream: batch}
+        return Run(self, last.run + 1, last, done, rewrites)
 
     # ------------------------------------------------------------ tables
 
-    def log(self, table: str, also: int | None = None) -> DataFrame:
-        """All rows of the finished runs, and of run ``also`` although it is unfinished."""
-        runs = [r.run for r in self.commits()]
+    def log(self, table: str, also: Run | None = None) -> DataFrame:
+        """All rows of the committed attempts, and of run ``also`` although it is unfinished.
+
+        The attempts are a small table (one row per run since the last ``compact``) that
+        prunes the folders; nobody asks which folders exist.
+        """
+        done = [(r.run, r.attempt) for r in self.commits()]
         if also is not None:
-            runs.append(also)
-        folders = [f"{self.root}/{table}/run={n}" for n in runs]
-        kept = self._existing(folders)
-        if not kept:
-            return self.spark.createDataFrame([], LAYOUT[table])
+            done.append((also.number, also.attempt))
+        return self._attempts(table, done)
+
+    def _attempts(self, table: str, done: list[tuple[int, str]]) -> DataFrame:
+        rows = self.spark.read.schema(LAYOUT[table] + ", attempt string").parquet(
+            f"{self.root}/{table}"
+        )
+        since = min(run for run, _ in done)
+        named = self.spark.createDataFrame(done, "run int, attempt string")
         return (
-            self.spark.read.schema(LAYOUT[table])
-            .option("basePath", f"{self.root}/{table}")
-            .parquet(*kept)
+            rows.where(F.col("run") >= since)
+            .join(F.broadcast(named), ["run", "attempt"], "left_semi")
+            .select(self.spark.createDataFrame([], LAYOUT[table]).columns)
         )
 
-    def _existing(self, folders: list[str]) -> list[str]:
-        # The driver asks for one folder per run, not per file.
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        paths = [(f, jvm.org.apache.hadoop.fs.Path(f)) for f in folders]
-        return [f for f, p in paths if p.getFileSystem(conf).exists(p)]
-
     def page_state(self, also: Run | None = None) -> DataFrame:
         """The pages as they are now, without their HTML; ``also`` counts though unfinished."""
-        log = self.log("page", also.number if also else None)
+        log = self.log("page", also)
         seen = log.where(F.col("part") == VISITED)
         rest = [c for c in log.columns if c not in ("id", "run", "part")]
         latest = seen.select("id", "run", *rest)
@@ -218,55 +230,51 @@ class CrawlStore:
         run.write("html", texts.join(live, "html_sha256", "left_semi"))
         for name in ("site", "image", "page_data", "link", "data_type", "page_type"):
             run.write(name, self.table(name))
-        for name in ("sitemap_url", "reject"):
+        for name in ("sitemap_text", "reject"):
             run.write(name, self.log(name))
         run.commit(base=True, keep_ids=True)
 
 
 class Run:
-    """One batch in the making."""
+    """One attempt at a batch."""
 
     def __init__(
         self,
         store: CrawlStore,
         number: int,
-        batch: int | None = None,
         last: T.Row | None = None,
+        batches: dict[str, int] | None = None,
         rewrites: bool = False,
     ):
-        self.store, self.number, self.batch = store, number, batch
-        self.last, self.rewrites = last, rewrites
+        self.store, self.number, self.attempt = store, number, uuid.uuid4().hex
+        self.last, self.batches, self.rewrites = last, batches or {}, rewrites
+
+    def _folder(self, table: str) -> str:
+        return f"{self.store.root}/{table}/run={self.number}/attempt={self.attempt}"
 
     def _put(self, df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").parquet(path)
 
     def write(self, table: str, df: DataFrame) -> None:
         columns = [c.split()[0] for c in LAYOUT[table].split(", ") if c.split()[0] != "run"]
-        self._put(df.select(*columns), f"{self.store.root}/{table}/run={self.number}")
+        self._put(df.select(*columns), self._folder(table))
 
     def write_pages(self, part: str, df: DataFrame) -> None:
         if "html_sha256" not in df.columns:
             df = df.withColumn("html_sha256", F.lit(None).cast("string"))
         names = [c.split()[0] for c in LAYOUT["page"].split(", ")]
         df = df.select(*[c for c in names if c not in ("part", "run")])
-        self._put(df, f"{self.store.root}/page/run={self.number}/part={part}")
+        self._put(df, f"{self._folder('page')}/part={part}")
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` written next to the store and read back: computed once, safe if executors go."""
-        path = f"{self.store.root}/stage/run={self.number}/{name}"
+        path = f"{self._folder('stage')}/{name}"
         self._put(df, path)
         return self.store.spark.read.schema(df.schema).parquet(path)
 
     def read(self, table: str) -> DataFrame:
         """What this run has written to a table so far."""
-        folder = f"{self.store.root}/{table}/run={self.number}"
-        if not self.store._existing([folder]):
-            return self.store.spark.createDataFrame([], LAYOUT[table])
-        return (
-            self.store.spark.read.schema(LAYOUT[table])
-            .option("basePath", f"{self.store.root}/{table}")
-            .parquet(folder)
-        )
+        return self.store._attempts(table, [(self.number, self.attempt)])
 
     def commit(self, base: bool = False, keep_ids: bool = False) -> None:
         kept = self.last is not None and (keep_ids or not base)
@@ -277,7 +285,8 @@ class Run:
         )
         now = {r.t: r.id or 0 for r in highest.collect()}
         ids = {t: max(before[t], now[t]) for t in NUMBERED}
-        row = (self.number, base, self.rewrites, self.batch, *ids.values())
+        batches = {**(self.last.batches or {} if kept else {}), **self.batches}
+        row = (self.number, self.attempt, base, self.rewrites, batches, *ids.values())
         self._put(
             self.store.spark.createDataFrame([row], COMMIT).coalesce(1),
             f"{self.store.root}/commit/run={self.number}",

@@ -28,13 +28,15 @@ def start_crawl(
 ) -> StreamingQuery:
     """Work arriving pages into the store, batch by batch.
 
-    Spark keeps the progress under ``checkpoint``. After a fault it repeats the last
-    batch: one that the store has committed is left alone, any other is written
-    over. ``once`` takes what is there and ends.
+    Spark keeps the progress under ``checkpoint``, and with it the stream's id, which
+    tells its batches from those of other streams into the store. After a fault Spark
+    repeats the last batch: one that the store has committed is left alone, of any
+    other nothing counts. ``once`` takes what is there and ends.
     """
 
     def work(batch: DataFrame, number: int) -> None:
-        process_batch(store, batch, crawl, files, batch=number)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        process_batch(store, batch, crawl, files, batch=number, stream=stream)
 
     writer = fetches.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
