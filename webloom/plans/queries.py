@@ -102,9 +102,13 @@ def image_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_link_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     policy = robots.robots_policy(_files(spark, sf_dir), OK)
-    found = summary.page_summary(derived(spark, sf_dir, "pages_xc").select("url", "html"), policy)
+    fetches = derived(spark, sf_dir, "pages_xc").select(
+        "url", "html", F.col("status").alias("http_status_code")
+    )
+    found = summary.page_summary(fetches, policy)
     return found.select(
         "url",
+        "http_status_code",
         "n_links",
         F.array_join(F.transform("first_links", lambda h: F.coalesce(h, F.lit("-"))), " ").alias(
             "first_links"

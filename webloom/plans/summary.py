@@ -21,6 +21,9 @@ def link_summary(pages: DataFrame, keys: list[str], first: int = 10) -> DataFram
 
 
 def page_summary(pages: DataFrame, policy: DataFrame, first: int = 10) -> DataFrame:
-    """``link_summary`` of the pages (``url``, ``html``) that their site's robots file allows."""
-    summary = link_summary(pages, ["url"], first)
+    """``link_summary`` and status of the pages that their site's robots file allows.
+
+    ``pages``: ``url``, ``html``, ``http_status_code``.
+    """
+    summary = link_summary(pages, ["url", "http_status_code"], first)
     return robots.with_robots(summary, policy).where("allowed").drop("allowed")
