@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ from sentencepiece import sentencepiece_model_pb2 as formats
 from webloom.llm.common import map_arrow, utf8
 
 MARK = "▁"
-REMEMBER = 400_000  # words whose pieces a task keeps at most
+REMEMBER = 250_000  # words whose pieces a task keeps at most, twice
 REMEMBER_BYTES = 48
 
 
@@ -131,12 +132,15 @@ class Codec:
         # Where no piece has a marker after another character, words are independent.
         apart = not any(MARK in t.lstrip(MARK) for t in (pieces.texts[i] for i in normal))
         self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if apart else r"[\s\S]+")
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.longest = max((len(pieces.texts[i].encode()) for i in normal), default=1)
+        self.next = [b + 1 for b in trie.base]
 
     def viterbi(self, text: bytes) -> list[int]:
         """The pieces of the best-scored segmentation; of equal ones the longest first piece."""
-        base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.pieces.scores
-        n, low = len(text), -math.inf
+        next_, check, value, scores = self.next, self.trie.check, self.trie.value, self.pieces.scores
+        n, low, longest = len(text), -math.inf, self.longest
         best, back, piece = [low] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
         unknown_score = self.unknown_score
@@ -144,19 +148,24 @@ class Codec:
         while i < n:
             lead = text[i]
             width = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
-            here, state, j, alone = best[i], 0, i, False
-            while j < n:
-                to = base[state] + text[j] + 1
+            here, state, j, alone = best[i], 0, i, i + width
+            single = False
+            for byte in text[i : i + longest]:
+                to = next_[state] + byte
                 if check[to] != state:
                     break
-                state, j = to, j + 1
+                state = to
+                j += 1
                 found = value[state]
                 if found >= 0:
-                    alone = alone or j - i == width
+                    if j == alone:
+                        single = True
                     score = here + scores[found]
                     if score > best[j]:
-                        best[j], back[j], piece[j] = score, i, found
-            if not alone and here + unknown_score > best[i + width]:
+                        best[j] = score
+                        back[j] = i
+                        piece[j] = found
+            if not single and here + unknown_score > best[i + width]:
                 best[i + width], back[i + width], piece[i + width] = here + unknown_score, i, -1
             i += width
         out, j = [], n
@@ -166,23 +175,27 @@ class Codec:
             j = i
         return out[::-1]
 
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """The identifiers of ``text`` as 32-bit integers."""
         if not text:
-            return []
+            return b""
         marked = (MARK if self.pieces.prefix else "") + text.replace(" ", MARK)
-        out: list[int] = []
-        known = self.known
-        for word in self.words.findall(marked):
-            ids = known.get(word)
-            if ids is None:
-                raw = word.encode()
-                ids = tuple(self.viterbi(raw))
-                if len(raw) <= REMEMBER_BYTES:
-                    if len(known) >= REMEMBER:
-                        known.clear()
-                    known[word] = ids
-            out += ids
-        return out
+        get, look = self.known.get, self._word
+        return b"".join([get(word) or look(word) for word in self.words.findall(marked)])
+
+    def _word(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        raw = word.encode()
+        if ids is None:
+            ids = array("i", self.viterbi(raw)).tobytes()
+        if len(raw) <= REMEMBER_BYTES:
+            if len(self.known) >= REMEMBER:
+                self.known, self.older = {}, self.known  # what is in use comes back from there
+            self.known[word] = ids
+        return ids
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -224,14 +237,13 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def body(part: pa.RecordBatch) -> dict:
         codec = _codec(key, shared)
-        ids = [codec.encode(t.decode("utf-8", "replace")) for t in utf8(part.column(1))]
-        sizes = np.cumsum([0, *map(len, ids)])
-        flat = np.fromiter((i for row in ids for i in row), np.int32, int(sizes[-1]))
+        packed = [codec.packed(text.decode("utf-8", "replace")) for text in utf8(part.column(1))]
+        sizes = np.cumsum([0, *map(len, packed)]) // 4
         return {
             "id": part.column(0).cast(pa.int64()),
             "text": part.column(1),
             "ids": pa.ListArray.from_arrays(
-                pa.array(sizes, pa.int32()), pa.array(flat),
+                pa.array(sizes, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)),
                 mask=part.column(1).is_null() if part.column(1).null_count else None,
             ),
         }
@@ -240,16 +252,27 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
-    """``encoded`` (id, text, ids) with ``decoded``; null ids give a null text."""
+    """``encoded`` (id, text, ids) with ``decoded`` and ``n_byte_pieces``; null ids give a null text."""
     shared, key = model.shared, model.path
 
     def body(part: pa.RecordBatch) -> dict:
         codec = _codec(key, shared)
-        texts = [None if ids is None else codec.decode(ids) for ids in part.column(2).to_pylist()]
+        # Row by row: all identifiers as Python lists at once would take many times their size.
+        rows = part.column(2)
+        ends, there = rows.offsets.to_numpy(), rows.is_valid().to_pylist()
+        flat, ends = rows.values.to_numpy()[ends[0] : ends[-1]], ends - ends[0]
+        by_byte = np.concatenate([[0], np.cumsum(np.isin(flat, list(codec.bytes.values())))])
+        texts = [
+            codec.decode(flat[ends[i] : ends[i + 1]].tolist()) if there[i] else None
+            for i in range(len(rows))
+        ]
         names = ("id", "text", "ids")
-        return {n: part.column(i) for i, n in enumerate(names)} | {"decoded": pa.array(texts, pa.string())}
+        return {n: part.column(i) for i, n in enumerate(names)} | {
+            "decoded": pa.array(texts, pa.string()),
+            "n_byte_pieces": pa.array(by_byte[ends[1:]] - by_byte[ends[:-1]], pa.int64()),
+        }
 
-    columns = "id bigint, text string, ids array<int>, decoded string"
+    columns = "id bigint, text string, ids array<int>, decoded string, n_byte_pieces bigint"
     return map_arrow(encoded, ["id", "text", "ids"], body, columns)
 
 
@@ -259,23 +282,18 @@ def round_trips(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     ``round_trip``: the decoded text is the text (markers in it read as spaces); null
     where the text is null.
     """
-    return checked(decode(encode(docs, model, id_col, text_col), model), model).drop("ids").withColumnRenamed(
+    return checked(decode(encode(docs, model, id_col, text_col), model)).drop("ids").withColumnRenamed(
         "id", id_col
     )
 
 
-def checked(decoded: DataFrame, model: Model) -> DataFrame:
+def checked(decoded: DataFrame) -> DataFrame:
     """``decode``'s rows as (id, ids, n_pieces, n_byte_pieces, ids_hash, decoded_sha256, round_trip)."""
-    kinds = model.shared.value[0].kinds
-    byte_ids = [i for i, k in enumerate(kinds) if k == formats.ModelProto.SentencePiece.BYTE]
-    low, high = min(byte_ids), max(byte_ids)  # byte pieces lie together in such files
     return decoded.select(
         "id",
         "ids",
         F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_pieces"),
-        F.coalesce(F.size(F.filter("ids", lambda i: i.between(low, high))), F.lit(0))
-        .cast("bigint")
-        .alias("n_byte_pieces"),
+        F.coalesce("n_byte_pieces", F.lit(0)).cast("bigint").alias("n_byte_pieces"),
         F.xxhash64("ids").alias("ids_hash"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.col("decoded") == F.translate("text", MARK, " ")).alias("round_trip"),
