@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from webloom.operators.joins import shared_folder
 
+PIECE_ROWS = 500
 # The bytes that count as white space in every contract: [\x20\x09-\x0D].
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -28,18 +29,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_pieces(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of ``PIECE_ROWS`` rows at most, whatever size the session gives batches.
+
+    What a task makes of a piece's long texts has to fit into its memory.
+    """
+    for part in parts:
+        for start in range(0, part.num_rows, PIECE_ROWS):
+            yield part.slice(start, PIECE_ROWS)
+
+
 def map_arrow(
     df: DataFrame,
     columns: Iterable[str],
     body: Callable[[pa.RecordBatch], dict[str, pa.Array]],
     schema: str,
 ) -> DataFrame:
-    """``body`` over the Arrow batches of ``columns``; it returns the columns of ``schema``."""
+    """``body`` over the Arrow batches of ``columns``; it returns the columns of ``schema``.
+
+    Batches are worked in pieces, see ``in_pieces``.
+    """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            if part.num_rows:
-                yield pa.RecordBatch.from_pydict(body(part))
+        for piece in in_pieces(parts):
+            yield pa.RecordBatch.from_pydict(body(piece))
 
     return df.select(*columns).mapInArrow(batches, schema)
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import map_arrow
+from webloom.llm.common import in_pieces, map_arrow
 
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
@@ -196,7 +196,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
         return not m.decode(m.margins(text))[2]
 
     def batches(parts):
-        for part in parts:
+        for part in in_pieces(parts):
             yield part.filter(pa.array(map(clear, part.column(at).to_pylist()), pa.bool_()))
 
     return docs.mapInArrow(batches, docs.schema)

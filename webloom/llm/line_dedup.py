@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webloom.llm.common import WHITE, fresh, map_arrow, stage, staged_path, utf8
+from webloom.llm.common import WHITE, fresh, in_pieces, map_arrow, stage, staged_path, utf8
 
 MIN_CHARS = 10
 FANOUT = 3
@@ -153,7 +153,7 @@ def drop_lines(
     names, at = docs.columns, docs.columns.index(text_col)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in in_pieces(parts):
             n_lines, n_dropped, kept = [], [], []
             texts, away = utf8(part.column(at)), part.column(len(names)).to_pylist()
             for text, hashes in zip(texts, away, strict=True):
