@@ -9,6 +9,7 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as formats
 
+import corpus_pipeline
 from tests.llm import brute
 from webloom.llm import embeddings, language, mixing, pieces, simhash, url_filter
 from webloom.llm.common import components
@@ -92,6 +93,35 @@ def test_wide_fingerprints_find_five_word_near_copies(spark):
     assert sum(2 * n + 1 in found for n, near in enumerate(pairs) if near) >= 0.9 * sum(pairs)
 
 
+def edited(draw, text, edits):
+    """A copy of ``text`` with ``edits`` words replaced, five shingles apart at least."""
+    copy = list(text)
+    for at in draw.sample(range(0, len(text) - 5, 6), edits):
+        copy[at + 5] = f"new{draw.getrandbits(40)}"
+    return copy
+
+
+def jaccard(a, b):
+    a, b = (set(brute.shingles(" ".join(t), 5)) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_search_finds_pairs_at_the_similarity(spark):
+    """Recall of keys and distance together, at a similarity between 0.8 and 0.82."""
+    draw = random.Random(11)
+    rows, words = [], [f"w{i}" for i in range(50_000)]
+    for number in range(300):
+        text = draw.choices(words, k=304)
+        copy = edited(draw, text, 6)
+        assert 0.8 <= jaccard(text, copy) <= 0.82
+        rows += [(2 * number, " ".join(text)), (2 * number + 1, " ".join(copy))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = simhash.near_duplicates(docs, **corpus_pipeline.NEAR).collect()
+    found = {r.doc_id: r.component_id for r in got}
+    assert all(found[i] // 2 == i // 2 for i in found)
+    assert sum(found[2 * n + 1] == 2 * n for n in range(300)) >= 0.95 * 300
+
+
 def test_vectors(spark):
     draw = np.random.default_rng(6)
     base = draw.normal(size=(40, 24))

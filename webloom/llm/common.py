@@ -95,6 +95,23 @@ def deal_buckets(keyed: DataFrame, spread: str, block: int, useful: Column | Non
     return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP)
 
 
+def deal_hot_buckets(keyed: DataFrame, spread: str, block: int) -> DataFrame:
+    """As ``deal_buckets``, rows whose key no other has included: all are shuffled once.
+
+    Only the keys of more than ``block`` rows are looked up.
+    """
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    many = F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int")
+    dealt = (
+        keyed.join(stage(sizes, "buckets"), "key", "left")
+        .withColumn("_own", F.pmod(F.xxhash64(spread), many).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), many - 1)))
+        .withColumns({"low": F.least("_own", "_other"), "high": F.greatest("_own", "_other")})
+        .drop("n", "_own", "_other")
+    )
+    return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """The rows of ``deal_buckets`` as tables of whole groups, and where the groups begin and end."""
     held: pa.Table | None = None
