@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, each against a plain version of its own input."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -79,6 +80,34 @@ def test_near_stage(results):
                 assert before[i][0] == before[j][0] or later not in after
 
 
+@pytest.mark.parametrize("block", [3, 500])
+def test_near_stage_links_by_shingle_sets(spark, monkeypatch, block):
+    """Families of texts with a similarity around 0.8, also dealt to blocks."""
+    monkeypatch.setattr(simhash, "SETS", block)
+    draw = random.Random(12)
+    words, texts = [f"w{i}" for i in range(50_000)], ["", "one two three four five " * 40, "one two three four five " * 30]
+    for _ in range(40):
+        first = draw.choices(words, k=304)
+        texts.append(" ".join(first))
+        for _ in range(draw.randrange(1, 8)):
+            copy = list(first)
+            for at in draw.sample(range(5, 300, 6), draw.choice([1, 3, 4, 6, 7, 8])):
+                copy[at] = f"new{draw.getrandbits(40)}"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = [set(brute.shingles(t, 5)) for t in texts]
+
+    def similar(i, j):
+        both = len(sets[i] & sets[j])
+        return both and both / len(sets[i] | sets[j]) >= 0.8
+
+    roots = brute.components(list(range(len(texts))), similar)
+    expected = {i for i, root in enumerate(roots) if i == root}
+    got = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()}
+    assert expected <= got  # nothing less similar is linked
+    assert len(got - expected) <= 0.02 * len(texts)
+
+
 def test_mixing_stage(spark, results):
     mixed = mixing.mix(results[3], spark.read.parquet(f"{SF}/labels.parquet")).collect()
     copies = {r.doc_id: r.copies for r in mixed if r.doc_id is not None}
