@@ -354,6 +354,21 @@ def test_mixing(spark):
     assert np.square(reached - wanted).sum() <= np.square(best).sum() + (0.01 * total) ** 2
 
 
+def test_features_do_not_depend_on_batches(spark):
+    """Traits that occur once in each batch count all the same."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    whole = mixing.train(docs, labels)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1")
+    try:
+        apart = mixing.train(docs, labels)
+    finally:
+        spark.conf.set(size, before)
+    assert whole.chosen.tolist() == apart.chosen.tolist()
+    assert np.allclose(whole.weights, apart.weights, atol=1e-3)
+
+
 def test_domains_are_learned(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

@@ -125,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> D
         counts: dict[int, np.ndarray] = {}
         for domain, found in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
             counts.setdefault(domain, np.zeros(BUCKETS, np.int64))[np.frombuffer(found, "<i4")] += 1
-        at = {domain: np.flatnonzero(n > 1) for domain, n in counts.items()}
+        at = {domain: np.flatnonzero(n) for domain, n in counts.items()}
         return {
             "domain": pa.array(np.concatenate([np.full(len(v), d, np.int32) for d, v in at.items()])),
             "bucket": pa.array(np.concatenate([*at.values()]).astype(np.int32)),
