@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import embeddings, exact_dedup, language, line_dedup, mixing, pieces, sharding, simhash, token_count, url_filter
+from webloom.llm import (
+    chat_format, embeddings, exact_dedup, hard_negatives, language, line_dedup, mixing, pieces, sharding,
+    simhash, spelling, token_count, url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +57,23 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    tricky = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    more = spark.createDataFrame(tricky, "conv_id bigint, turn bigint, role string, text string")
+    read = chat_format.digest(chat_format.format_chats(chats.unionByName(more)))
+    return read.drop("n_attachments", "attachment_tokens")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
@@ -65,4 +85,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_token_count": op10_token_count,
+    "op11_chat_format": op11_chat_format,
+    "op12_spelling": op12_spelling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
