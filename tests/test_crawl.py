@@ -155,7 +155,22 @@ def test_sites_robots_and_sitemaps(spark, store):
     assert types(store) == {f"{w}/1/": "HTML", f"{w}/yes/": "FRONTIER"}
     site = store.table("site").collect()
     assert [tuple(s)[1:] for s in site] == [("h.example.com", "User-agent: *\nDisallow: /no\n", f"{w}/a\n{w}/b")]
-    assert store.table("sitemap_url").count() == 2
+    parts = store.table("sitemap_text").collect()
+    assert [tuple(p) for p in parts] == [("h.example.com", 0, f"{w}/a\n{w}/b")]
+
+
+def test_a_sitemap_of_many_parts(spark, store):
+    w = "https://big.example.com"
+    urls = [f"{w}/p{i:05d}" for i in range(20_500)]
+    body = "".join(f"<loc>{url}</loc>" for url in reversed(urls))
+    files = spark.createDataFrame([("big.example.com", "sitemap.xml", 200, body)], schemas.SITE_FILE)
+    seed(store, f"{w}/1/", f"{H}/2/")
+    process_batch(store, fetches(spark, (f"{w}/1/", "x", 200), (f"{H}/2/", "y", 200)), CRAWL, files)
+    parts = sorted(tuple(p) for p in store.table("sitemap_text").collect())
+    assert [(domain, part) for domain, part, _ in parts] == [("big.example.com", n) for n in range(3)]
+    assert [url for *_, text in parts for url in text.split("\n")] == urls
+    first = {r.domain: r.sitemap_content for r in store.table("site").collect()}
+    assert first == {"big.example.com": parts[0][2], "h.example.com": None}
 
 
 def test_redirect_pass(spark, store):

@@ -256,19 +256,20 @@ def status_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Site rows that the fetched pages call for, in an empty store."""
+    """Site rows that the fetched pages call for, in an empty store, with all parts of their sitemaps."""
     store = tables.empty_tables(spark)
     routed = fetched(derived(spark, sf_dir, "pages_xc")).select(
         "url", "accessed_time", F.col("url").alias("site_url"),
         urls.domain(F.col("url")).alias("domain"),
         pages.route(F.col("http_status_code"), pages.SUCCESS).alias("route"),
     )
-    rows, _ = crawl.new_sites(
-        routed, store["site"], _files(spark, sf_dir), crawl.Crawl(SCOPE), 0
-    )
-    return tables.insert_sites(store["site"], rows.drop("id")).select(
-        "domain", "robots_content", "sitemap_content"
-    )
+    # As in a batch, what several steps read is a table.
+    rows, listed = crawl.new_sites(
+        routed, store["site"], _files(spark, sf_dir), crawl.Crawl(SCOPE), 0,
+        stage=lambda name, df: cut_lineage(df),
+    )
+    added = tables.insert_sites(store["site"], rows.drop("id"))
+    return added.select("domain", "robots_content").join(listed, "domain", "left")
 
 
 def page_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
