@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,6 +35,34 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Dat
     )
 
 
+def at_most(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df``, known to have at most so many rows (None: not known)."""
+    df._at_most = rows
+    return df
+
+
+def row_bound(df: DataFrame) -> int | None:
+    return getattr(df, "_at_most", None)
+
+
+def slot_of(key: str | Column, slots: int) -> Column:
+    """The folder, one of ``slots``, in which rows of a key lie."""
+    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+
+
+def rows_of_keys(table: DataFrame, keys: DataFrame, key: str, slots: int) -> DataFrame:
+    """The rows of ``table`` (partitioned by ``slot``) whose ``key`` is among ``keys``.
+
+    Keys that Spark finds small enough are broadcast: then no row of the table is shuffled,
+    and only folders that hold one of the keys are read (dynamic partition pruning,
+    for which the keys have to be recognisable as a selection; hence the filter). More
+    keys than that meet the table's rows in a shuffle of both.
+    """
+    slot = slot_of(key, slots)
+    wanted = keys.select(key).distinct().withColumn("slot", slot).where(F.col("slot") >= 0)
+    return table.join(wanted, ["slot", key], "left_semi")
+
+
 def hot_key_join(
     left: DataFrame,
     right: DataFrame,
@@ -45,8 +76,12 @@ def hot_key_join(
     The left rows of a hot key go to several tasks, by the hash of ``spread``;
     the matching right rows, and only those, are copied to each of them. All
     other keys join as usual. ``left`` is read twice, so hand in something that
-    is cheap to read again.
+    is cheap to read again. A left side known to be no larger than one task's share
+    (``at_most``) has no hot key and joins as usual.
     """
+    bound = row_bound(left)
+    if bound is not None and bound <= rows_per_task:
+        return left.join(right, key, how)
     hot = F.broadcast(hot_keys(left.select(key), key, rows_per_task))
     salted_left = left.join(hot, F.xxhash64(left[key]) == hot["_hot"], "left").withColumn(
         "_salt",
@@ -71,14 +106,17 @@ def numbered(df: DataFrame, by: list[str], name: str) -> DataFrame:
         .withColumn("_at", F.monotonically_increasing_id())
     ).withColumn("_part", F.shiftright("_at", 33))
     # One row per partition of the sort, however many rows there are.
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    return (
+    sizes = sorted(tuple(r) for r in placed.groupBy("_part").agg(F.count("*")).collect())
+    before = [0, *accumulate(size for _, size in sizes)]
+    offsets = df.sparkSession.createDataFrame(
+        [(part, rows) for (part, _), rows in zip(sizes, before, strict=False)], "_part bigint, _before bigint"
+    )
+    out = (
         placed.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1))
         .drop("_part", "_at", "_before")
     )
+    return at_most(out, before[-1])
 
 
 def with_ids(df: DataFrame, key: str, after: int = 0) -> DataFrame:
@@ -99,15 +137,13 @@ def with_ids(df: DataFrame, key: str, after: int = 0) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back.
+    """``df`` written as Parquet below the shared folder and read back.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``; a folder of
-    its own only in a session that names none.
+    Computed once, safe if executors go, and its size is known to the optimizer.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_folder(spark) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import html, urls
-from webloom.operators.joins import hot_key_join
+from webloom.operators.joins import at_most, cut_lineage, hot_key_join
 
 
 def is_link() -> Column:
@@ -79,6 +79,30 @@ def in_scope_links(targets: DataFrame, scope: str | list[str]) -> DataFrame:
     )
 
 
+def chain_ends(steps: DataFrame) -> DataFrame:
+    """``key, end``: where the chain of ``key, next`` that begins at each key ends.
+
+    Every round doubles the steps done, so a chain of any length takes a few rounds and each is
+    a join of tables as large as ``steps``; many chains may end at one key. Chains that run into
+    a circle have no end and are left out. Of several rows of a key the smallest ``next`` counts.
+    """
+    ways = cut_lineage(
+        steps.where("key IS NOT NULL AND next IS NOT NULL").groupBy("key").agg(F.min("next").alias("end"))
+    )
+    total, done = ways.count(), 1
+    while done <= total:
+        on = ways.select(F.col("key").alias("end"), F.col("end").alias("_next"))
+        joined = hot_key_join(at_most(ways, total), on, "end", "key")
+        moved = cut_lineage(
+            joined.select("key", F.coalesce("_next", "end").alias("end"), F.col("_next").isNotNull().alias("_moved"))
+        )
+        ways, done = moved.select("key", "end"), done * 2
+        if moved.where("_moved").isEmpty():
+            return ways
+    # After as many steps as there are keys only those in circles still go on.
+    return ways.join(ways.select(F.col("key").alias("end")), "end", "left_anti").select("key", "end")
+
+
 def page_links(edges: DataFrame, ids: DataFrame) -> DataFrame:
     """Link rows (``from_page``, ``to_page``) for edges (``page_id``, ``url``) by the id of the URL."""
     return (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import urls
-from webloom.operators.joins import ROWS_PER_TASK, hot_key_join
+from webloom.operators.joins import ROWS_PER_TASK, at_most, hot_key_join
 from webloom.schemas import DUPLICATE, FAILED, HTML, REDIRECTS
 
 # Statuses that count as a page, by kind of pass.
@@ -59,12 +59,16 @@ def content_representatives(pages: DataFrame, digest: str, order: list[str]) ->
 
 
 def classify(
-    pages: DataFrame, stored: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK
+    pages: DataFrame,
+    stored: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+    rows: int | None = None,
 ) -> DataFrame:
     """Page type of accepted pages, and of which page a copy is one.
 
     ``pages``: ``url, page_id, accessed_time, html_sha256, canonical_copy``;
-    ``stored``: ``id, html_sha256`` of the pages already in the store. Adds
+    ``stored``: ``id, html_sha256`` of the pages already in the store, as far as they have a
+    content of ``pages``; ``rows``: how many pages there are at most, if known. Adds
     ``page_type_code``, ``copy_kind`` (canonical, content or null) and
     ``original_id`` of a content copy. The stored page comes first, then the
     earliest page of the batch; ties go by URL. Canonical copies never represent
@@ -100,6 +104,7 @@ def classify(
         .where((F.col("n") > 1) & (F.col("in_batch") == 1))
         .select("html_sha256", "first")
     )
+    pages = at_most(pages, rows)
     joined = hot_key_join(pages, first, "html_sha256", "url", rows_per_task=rows_per_task)
     content_copy = (
         ~F.col("canonical_copy")

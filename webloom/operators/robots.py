@@ -10,7 +10,7 @@ from webloom import schemas
 from webloom.functions import urls
 from webloom.functions.html import visible_text
 from webloom.functions.text import percent_decode
-from webloom.operators.joins import hot_key_join
+from webloom.operators.joins import at_most, hot_key_join, row_bound
 
 ROBOTS_PATH = "robots.txt"
 _LINE_END = "\r\n|[\n\r\x0b\f\x1c-\x1e\x85\u2028\u2029]"
@@ -135,7 +135,7 @@ def with_robots(
     there are, and the URLs of a huge site spread over many tasks.
     """
     extra = {} if rows_per_task is None else {"rows_per_task": rows_per_task}
-    keyed = df.withColumn("authority", urls.authority(F.col(url)))
+    keyed = at_most(df.withColumn("authority", urls.authority(F.col(url))), row_bound(df))
     joined = hot_key_join(keyed, policy, "authority", url, **extra)
     rest = F.regexp_replace(
         percent_decode(F.col(url)), rf"^(?:{urls.SCHEME}:)?(?://[^/?#]*)?", ""

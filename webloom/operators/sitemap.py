@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import html, urls
-from webloom.operators.joins import cut_lineage, hot_key_join, numbered
+from webloom.operators.joins import at_most, cut_lineage, hot_key_join, numbered
 
 SITEMAP_PATH = "sitemap.xml"
 PART_URLS = 10_000
@@ -19,19 +19,37 @@ def sitemap_locations(files: DataFrame, ok: list[int]) -> DataFrame:
     ).select("authority", "path", html.locations(F.col("body")).alias("locs"))
 
 
-def _by_file(sites: DataFrame, files: DataFrame) -> DataFrame:
-    """``files`` of each row of ``sites`` (site, authority, path); many sites may name one file."""
-    file = F.struct("authority", "path").alias("_file")
-    found = files.select(file, *[c for c in files.columns if c not in ("authority", "path")])
-    return hot_key_join(sites.select("site", file), found, "_file", spread="site", how="inner")
+REACHED = """
+WITH RECURSIVE reached(site, authority, path, seen) MAX RECURSION LEVEL 1000 AS (
+  SELECT site, authority, path, array(struct(authority, path)) FROM {start}
+  UNION ALL
+  SELECT r.site, n.to_authority, n.to_path,
+    array_append(r.seen, struct(n.to_authority AS authority, n.to_path AS path))
+  FROM reached r JOIN {nested} n ON r.authority = n.authority AND r.path = n.path
+  WHERE NOT array_contains(r.seen, struct(n.to_authority AS authority, n.to_path AS path)))
+SELECT DISTINCT site, authority, path FROM reached
+"""
+
+
+def reached_files(start: DataFrame, nested: DataFrame) -> DataFrame:
+    """``site, authority, path``: the sitemap files of each site, over all levels, in one plan.
+
+    ``start``: the first file of each site; ``nested``: files (``authority, path``) and those that
+    they name (``to_authority, to_path``). A file is not followed from one that it led to, so
+    cycles end. Rows are files by the ways that lead to them; Spark's limit of a million rows a
+    recursion is lifted for the session, since a crawl of many sites has more.
+    """
+    spark = start.sparkSession
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    return spark.sql(REACHED, start=start, nested=nested)
 
 
 def expand_sitemaps(files: DataFrame, ok: list[int], roots: DataFrame | None = None) -> DataFrame:
     """``authority, url``: page URLs that the sitemap of each site names.
 
     An entry that names another sitemap is followed, over as many levels as there
-    are; a file met before is not read again, so cycles end. ``roots`` limits the
-    sites (``authority``).
+    are. ``roots`` limits the sites (``site, authority``) and gives them other names; then the
+    result is ``site, url``.
     """
     located = sitemap_locations(files, ok)
     loc = F.col("loc")
@@ -46,27 +64,19 @@ def expand_sitemaps(files: DataFrame, ok: list[int], roots: DataFrame | None = N
         )
         .distinct()
     )
-    start = located.where(F.col("path") == SITEMAP_PATH).select("authority", "path")
-    if roots is not None:
-        start = start.join(roots.select("authority").distinct(), "authority", "left_semi")
-    start = start.distinct().select(F.col("authority").alias("site"), "authority", "path")
-    # Only the few files that name other files take part in the loop.
-    nested = cut_lineage(nested)
-    reached = level = start
-    while not nested.isEmpty():
-        found = (
-            _by_file(level, nested)
-            .select("site", F.col("to_authority").alias("authority"), F.col("to_path").alias("path"))
-            .distinct()
-            .join(reached, ["site", "authority", "path"], "left_anti")
-        )
-        level = cut_lineage(found)
-        if level.isEmpty():
-            break
-        reached = reached.unionByName(level)
+    start = located.where(F.col("path") == SITEMAP_PATH).select("authority", "path").distinct()
+    if roots is None:
+        start = start.select(F.col("authority").alias("site"), "authority", "path")
+    else:
+        start = start.join(roots, "authority").select("site", "authority", "path")
+    # Only the few files that name other files take part in the recursion; it reads them each time.
+    reached = cut_lineage(reached_files(start, cut_lineage(nested)))
+    file = F.struct("authority", "path").alias("_file")
+    # Many sites may name one file: the one join here that may meet a hot key.
+    sites = at_most(reached.select("site", file), reached.count())
     return (
-        _by_file(reached, located)
-        .select(F.col("site").alias("authority"), F.explode("locs").alias("url"))
+        hot_key_join(sites, located.select(file, "locs"), "_file", spread="site", how="inner")
+        .select(F.col("site").alias("authority" if roots is None else "site"), F.explode("locs").alias("url"))
         .where(~urls.is_sitemap(F.col("url")))
         .distinct()
     )

@@ -9,6 +9,7 @@ computed once and survives lost executors.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from webloom import schemas
 from webloom.functions import html, text, urls
 from webloom.operators import frontier, links, pages, robots, sitemap, tables
-from webloom.operators.joins import hot_key_join, with_ids
-from webloom.plans.store import FRONTIER, VISITED, CrawlStore, Run
+from webloom.operators.joins import at_most, hot_key_join, row_bound, rows_of_keys, with_ids
+from webloom.plans.store import FRONTIER, MOVED, VISITED, CrawlStore, Run
 
 
 @dataclass(frozen=True)
@@ -105,6 +106,15 @@ def parse_fetches(fetches: DataFrame, crawl: Crawl) -> DataFrame:
 # ---------------------------------------------------------------- decide
 
 
+def looked_up(parsed: DataFrame, crawl: Crawl) -> DataFrame:
+    """The URLs (``url``) whose state decides about fetched pages: their own, and those they name."""
+    read = parsed.where(F.col("reason").isNull())
+    named = F.when(F.col("canonical_copy"), F.col("canonical_href"))
+    columns = [F.col("url"), named] + ([F.col("final_url")] if crawl.kind.redirects else [])
+    urls_of = read.select(F.explode(F.array_distinct(F.array(*columns))).alias("url"))
+    return urls_of.where(F.col("url").isNotNull())
+
+
 def due_pages(parsed: DataFrame, state: DataFrame, crawl: Crawl) -> DataFrame:
     """The first fetch of every URL, joined to its page row; ``page_id`` null if it has none.
 
@@ -128,7 +138,9 @@ def due_pages(parsed: DataFrame, state: DataFrame, crawl: Crawl) -> DataFrame:
     return first.join(known, "url", "left")
 
 
-def with_route(due: DataFrame, state: DataFrame, crawl: Crawl) -> DataFrame:
+def with_route(
+    due: DataFrame, state: DataFrame, crawl: Crawl, rows: int | None = None
+) -> DataFrame:
     """``route`` of every page that is due, and its ``domain``.
 
     In the redirect pass a page whose target was visited before, or to which an
@@ -143,6 +155,7 @@ def with_route(due: DataFrame, state: DataFrame, crawl: Crawl) -> DataFrame:
             F.min(F.struct("accessed_time", "url")).alias("_first")
         )
         targets = first.join(known, "final_url", "left")
+        due = at_most(due, rows)
         due = hot_key_join(due, targets, "final_url", "url")
         visited = F.col("seen").isNotNull() | (F.col("_first.url") != F.col("url"))
     kept_url = F.when(F.col("route") == "visited_redirect", F.col("url")).otherwise(
@@ -186,9 +199,10 @@ def new_sites(
         rows = found.withColumn("robots_content", empty).withColumn("sitemap_content", empty)
         return with_ids(rows, "domain", after), None
     found = stage("domains", found)
-    expanded = sitemap.expand_sitemaps(files, crawl.kind.file_ok, found)
-    urls_of = hot_key_join(expanded, found, "authority", spread="url", how="inner")
-    listed = stage("listed", sitemap.sitemap_texts(urls_of.select("domain", "url"), "domain"))
+    roots = found.select(F.col("domain").alias("site"), "authority")
+    expanded = sitemap.expand_sitemaps(files, crawl.kind.file_ok, roots)
+    named = expanded.withColumnRenamed("site", "domain")
+    listed = stage("listed", sitemap.sitemap_texts(named, "domain"))
     rows = (
         found.join(robots.robots_content(files, crawl.kind.file_ok), "authority", "left")
         .join(sitemap.first_texts(listed), "domain", "left")
@@ -196,12 +210,14 @@ def new_sites(
     return with_ids(rows, "domain", after), listed
 
 
-def decide(routed: DataFrame, site: DataFrame, state: DataFrame, stage=_as_is) -> DataFrame:
-    """Site and page type of every page that is due, and the original of a copy."""
+def decide(routed: DataFrame, site: DataFrame, stored: DataFrame, stage=_as_is) -> DataFrame:
+    """Site and page type of every page that is due, and the original of a copy.
+
+    ``stored``: ``id, html_sha256`` of the stored pages that have a content of these.
+    """
     ids = site.select("domain", F.col("id").alias("site_id"))
-    placed = stage("placed", hot_key_join(routed, ids, "domain", "url"))
-    stored = state.where(F.col("page_type_code") == schemas.HTML).select("id", "html_sha256")
-    accepted = pages.classify(placed.where(F.col("route") == "ok"), stored)
+    placed = at_most(stage("placed", hot_key_join(routed, ids, "domain", "url")), row_bound(routed))
+    accepted = pages.classify(placed.where(F.col("route") == "ok"), stored, rows=row_bound(placed))
     rest = placed.where(F.col("route") != "ok").select(
         "*",
         F.lit(None).cast("string").alias("copy_kind"),
@@ -235,10 +251,10 @@ def repointed(decided: DataFrame, state: DataFrame) -> DataFrame:
     )
     named = decided.where((F.col("copy_kind") == "canonical") & F.col("canonical_href").isNotNull())
     target = state.select(F.col("url").alias("canonical_href"), F.col("id").alias("new_from"))
+    named = named.select("canonical_href", F.col("page_id").alias("to_page"))
     canonical = hot_key_join(
-        named.select("canonical_href", F.col("page_id").alias("to_page")),
-        target, "canonical_href", "to_page", "inner",
-    ).select("to_page", "new_from")
+        at_most(named, row_bound(decided)), target, "canonical_href", "to_page", "inner"
+    ).select("to_page", "new_from")
     return content.unionByName(canonical)
 
 
@@ -285,17 +301,18 @@ def discover(
 
 
 def every_link(
-    edges: DataFrame, crawl: Crawl, policy: DataFrame | None, state: DataFrame, stage
+    edges: DataFrame, crawl: Crawl, policy: DataFrame | None, pages_of: Callable, stage
 ) -> DataFrame:
-    """All links between pages of the store, as ``from_page, to_page``."""
+    """All links between pages of the store, as ``from_page, to_page``; ``pages_of`` looks up URLs."""
     pairs = edges.select("page_id", F.col("target").alias("url")).dropDuplicates()
     if policy is not None:
         pairs = robots.with_robots(stage("pairs", pairs), policy).where("allowed")
     cleaned = urls.normalize(F.col("url"), crawl.mode).alias("url")
     pairs = pairs.select("page_id", cleaned).dropDuplicates()
-    ids = state.select("url", F.col("id").alias("to_page"))
+    pairs = stage("edges", pairs)
+    ids = pages_of(pairs.select("url")).select("url", F.col("id").alias("to_page"))
     return (
-        hot_key_join(stage("edges", pairs), ids, "url", "page_id", "inner")
+        hot_key_join(pairs, ids, "url", "page_id", "inner")
         .select(F.col("page_id").alias("from_page"), "to_page")
         .dropDuplicates()
     )
@@ -337,30 +354,39 @@ def _apply(
     parsed: DataFrame,
     crawl: Crawl,
     files: DataFrame | None,
-    queue: DataFrame | None = None,
-) -> None:
-    """All steps after the parse; ``queue`` limits them to some URLs of ``parsed``."""
-    state, last = store.page_state(), run.last
-    found = due_pages(parsed, state, crawl)
-    if queue is not None:
-        # Here rows are narrow; the tags of other pages are not touched.
-        found = found.join(queue.select("url"), "url", "left_semi")
-    found = run.stage("found", found)
+) -> DataFrame:
+    """All steps after the parse; gives the new frontier rows.
+
+    What the store knows of the URLs, contents and link targets of the batch is looked up once
+    each, by key; nothing here reads or shuffles the whole store.
+    """
+    last = run.last
+    known = run.stage("known", store.pages_of(looked_up(parsed, crawl)))
+    found = run.stage_counted("found", due_pages(parsed, known, crawl))
     unread = parsed.where(F.col("reason").isNotNull()).select("url", "reason")
     unknown = found.where(F.col("page_id").isNull()).select("url", F.lit("unknown url").alias("reason"))
     run.write("reject", unread.unionByName(unknown))
 
-    routed = run.stage("routed", with_route(found.where("due"), state, crawl))
+    due = with_route(found.where("due"), known, crawl, row_bound(found))
+    routed = at_most(run.stage("routed", due), row_bound(found))
     rows, listed = new_sites(routed, store.table("site"), files, crawl, last.site_id, run.stage)
     run.write("site", rows)
     if listed is not None:
         run.write("sitemap_text", listed)
     site = store.log("site", also=run)
 
-    decided = run.stage("decided", decide(routed, site, state, run.stage))
-    run.write_pages(VISITED, page_updates(decided))
-    if not crawl.kind.redirects:
-        run.write("repoint", repointed(decided, state))
+    asked = routed.where((F.col("route") == "ok") & ~F.col("canonical_copy")).select("html_sha256")
+    decided = decide(routed, site, store.originals(asked), run.stage)
+    decided = at_most(run.stage("decided", decided), row_bound(found))
+    updates = page_updates(decided)
+    run.write_pages(VISITED, updates)
+    originals = updates.where(F.col("page_type_code") == schemas.HTML)
+    run.write_digests(originals.select("html_sha256", "id", "url"))
+    if crawl.kind.redirects:
+        left = decided.where(F.col("new_url") != F.col("url"))
+        run.write_pages(MOVED, left.select(F.col("page_id").alias("id"), "url"))
+    else:
+        run.write("repoint", repointed(decided, known))
 
     tags = run.stage("tags", accepted_tags(parsed, decided, crawl))
     keys = ["page_id", "pos", "accessed_time"]
@@ -371,26 +397,25 @@ def _apply(
     if files is not None:
         policy = robots.robots_policy(files, [200])
     edges = links.in_scope_links(tags, crawl.scope)
-    now = store.page_state(also=run)
-    fresh = run.stage(
-        "fresh",
-        tables.new_frontier_rows(discover(edges, crawl, policy, run.stage), now, last.page_id),
-    )
+    linked = run.stage("linked", discover(edges, crawl, policy, run.stage_counted))
+    old = store.pages_of(linked.select("url"), also=run)
+    fresh = run.stage("fresh", tables.new_frontier_rows(linked, old, last.page_id))
     run.write_pages(FRONTIER, fresh)
     if crawl.all_links:
-        now = store.page_state(also=run)
-        pairs = every_link(edges, crawl, policy, now, run.stage)
+        pairs = every_link(
+            edges, crawl, policy, lambda asked: store.pages_of(asked, also=run), run.stage_counted
+        )
         run.write("link", pairs.join(store.log("link"), ["from_page", "to_page"], "left_anti"))
     else:
         run.write(
             "link", fresh.select(F.col("page_id").alias("from_page"), F.col("id").alias("to_page"))
         )
 
-    codes = run.read("page_data").select(F.col("data_type_code").alias("code")).distinct()
-    run.write("data_type", codes.join(store.table("data_type"), "code", "left_anti"))
-    types = decided.select(F.col("page_type_code").alias("code")).distinct()
-    run.write("page_type", types.join(store.table("page_type"), "code", "left_anti"))
+    # A few codes each; those stored before are told apart when read.
+    run.write("data_type", run.read("page_data").select(F.col("data_type_code").alias("code")).distinct())
+    run.write("page_type", decided.select(F.col("page_type_code").alias("code")).distinct())
     run.commit()
+    return fresh
 
 
 def redirect_pass(
@@ -410,26 +435,32 @@ def crawl_archive(
 ) -> int:
     """Crawl an archive of responses from the store's frontier on; gives the generations done.
 
-    The archive is parsed once. Every generation takes the whole frontier, or its
-    oldest ``batch_size`` URLs, as far as the archive has an answer.
+    The archive is parsed once and clustered by the hash of its URLs. The frontier is read
+    once; from then on the queue follows from what a generation took and found. Every
+    generation takes the whole queue, or its oldest ``batch_size`` URLs, as far as the
+    archive has an answer, and reads of the archive the folders of these URLs alone:
+    their narrow columns to decide, the tags of the pages that count.
     """
-    parsed, done = None, 0
+    archive, queue, done = None, None, 0
+    new = store.frontier()
     while generations is None or done < generations:
         run = store.begin(rewrites=crawl.kind.redirects)
-        if parsed is None:
+        if archive is None:
             ok = F.col("http_status_code").isin(crawl.kind.accepted) & F.col("html").isNotNull()
             digest = text.content_digest(F.col("html")).alias("html_sha256")
-            parsed = run.stage("archive", parse_fetches(responses, crawl)).where("reason is null")
-            texts = responses.where(ok).select(digest, "html")
-        queue = store.frontier().join(parsed.select("url").distinct(), "url", "left_semi")
-        if batch_size is not None:
-            queue = frontier.next_batch(queue, batch_size, "run", "id")
-        queue = run.stage("queue", queue)
-        if queue.isEmpty():
+            archive = run.stage_slots(
+                "archive", parse_fetches(responses, crawl).where("reason is null"), "url"
+            )
+            run.write("html", responses.where(ok).select(digest, "html"))
+        answers = rows_of_keys(archive.select("slot", "url"), new, "url", store.slots)
+        new = new.join(answers.select("url").distinct(), "url", "left_semi")
+        queue = run.stage("queue", new if queue is None else queue.unionByName(new))
+        due = queue if batch_size is None else frontier.next_batch(queue, batch_size, "run", "id")
+        due = run.stage("due", due)
+        if due.isEmpty():
             break
-        if texts is not None:
-            run.write("html", texts)
-            texts = None
-        _apply(store, run, parsed, crawl, files, queue)
+        fresh = _apply(store, run, rows_of_keys(archive, due, "url", store.slots).drop("slot"), crawl, files)
+        new = fresh.select("id", "url", F.lit(run.number).alias("run"))
+        queue = queue.join(due.select("id"), "id", "left_anti")
         done += 1
     return done

@@ -55,6 +55,9 @@ _HTML = "html" + "".join(
 
 # pages_x: richer pages with status and redirect target.
 # pages_xc: the same and copies of some of them under a further host.
+# archive: what a crawl of several generations meets. Pages (page_id % 8 = 0) lead to pages of a
+# further host, those to others, over three levels (1 to 3), with copies, faults and links back.
+# chained: pages whose canonical link leads to another page, over up to four steps, some in circles.
 # authorities, site_files: robots and sitemap files of every host.
 # fetch_log: browser log entries of every page.
 CTES = rf"""
@@ -75,6 +78,33 @@ pages_xc AS (
   UNION ALL
   SELECT page_id + 1, replace(url, '://', '://copy.'), html, status, redirect_url
   FROM pages_x WHERE page_id % 26 = 0),
+archive AS (
+  SELECT page_id * 8 AS page_id, url, html || '<a href="https://next.example.org/g1/p'
+    || CAST(page_id AS STRING) || '/">next</a>' AS html, status, redirect_url FROM pages_x
+  UNION ALL
+  SELECT page_id * 8 + 1, 'https://next.example.org/g1/p' || CAST(page_id AS STRING) || '/',
+    '<p>first ' || CAST(page_id % 22 AS STRING) || '</p><a href="/g2/p' || CAST(page_id % 14 AS STRING)
+      || '/">on</a><a href="/g1/p0/">back</a><img src="/i/' || CAST(page_id % 22 AS STRING) || '.png">',
+    CASE page_id % 20 WHEN 6 THEN 301 WHEN 8 THEN 404 WHEN 12 THEN 400 ELSE 200 END,
+    'https://next.example.org/g1/p' || CAST(page_id AS STRING) || '/'
+  FROM pages_x WHERE page_id % 6 <> 4
+  UNION ALL
+  SELECT k * 8 + 2, 'https://next.example.org/g2/p' || CAST(k AS STRING) || '/',
+    CASE WHEN k % 4 = 0 THEN '<p>second</p><a href="/g3/p' || CAST(k AS STRING) || '/">on</a>'
+      ELSE '<p>second ' || CAST(k AS STRING) || '</p><a href="/g3/p' || CAST(k AS STRING)
+        || '/">on</a><a href="https://next.example.org/g3/p' || CAST(k % 4 AS STRING) || '/">also</a>' END,
+    200, 'https://next.example.org/g2/p' || CAST(k AS STRING) || '/'
+  FROM (SELECT DISTINCT page_id % 14 AS k FROM pages_x) AS second
+  UNION ALL
+  SELECT k * 8 + 3, 'https://next.example.org/g3/p' || CAST(k AS STRING) || '/',
+    '<link rel="canonical" href="https://next.example.org/g3/p' || CAST(k % 4 AS STRING)
+      || '/"><p>third ' || CAST(k AS STRING) || '</p><a href="/g4/none/">out</a>',
+    200, 'https://next.example.org/g3/p' || CAST(k AS STRING) || '/'
+  FROM (SELECT DISTINCT page_id % 14 AS k FROM pages_x) AS third),
+chained AS (
+  SELECT a.page_id, a.url, b.url AS canonical_href FROM pages_x a JOIN pages_x b
+    ON b.page_id = CASE WHEN a.page_id % 40 = 30 THEN a.page_id + 6 ELSE a.page_id - 2 END
+  WHERE a.page_id % 10 <> 0 AND a.page_id % 4 <> 2 OR a.page_id % 40 >= 30),
 authorities AS (
   SELECT regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS authority, min(page_id) AS m
   FROM pages_xc GROUP BY 1),

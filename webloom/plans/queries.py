@@ -20,7 +20,7 @@ from webloom.plans import crawl, summary
 from webloom.plans.inputs import derived, fetched
 from webloom.plans.store import VISITED, CrawlStore
 from webloom.sources import readers
-from webloom.streaming.crawl_stream import start_crawl
+from webloom.streaming.crawl_stream import distinct_stream, start_crawl
 
 SCOPE = ".example."
 OK = [200]
@@ -419,6 +419,23 @@ def repoint_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def canonical_repoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links into pages with a canonical link start at the page that the chain of those ends at."""
+    chained = derived(spark, sf_dir, "chained")
+    ends = links.chain_ends(chained.select(F.col("url").alias("key"), F.col("canonical_href").alias("next")))
+    remap = ends.select(F.col("key").alias("to_page"), F.col("end").alias("new_from"))
+    # The pages as links: each page is found from its neighbour and from itself.
+    x = derived(spark, sf_dir, "pages_x").select("page_id", "url")
+    before = x.select((F.col("page_id") + 2).alias("page_id"), F.col("url").alias("from_page"))
+    to_page = F.col("url").alias("to_page")
+    link = x.join(before, "page_id").select("from_page", to_page).unionByName(
+        x.select(F.col("url").alias("from_page"), to_page)
+    )
+    return tables.repoint_links(cut_lineage(link), remap).select(
+        F.col("from_page").alias("from_url"), F.col("to_page").alias("to_url")
+    )
+
+
 def dimension_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both code tables of a fresh store after all pages and documents were stored."""
     fresh = tables.empty_tables(spark)
@@ -498,7 +515,10 @@ def page_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _crawled(spark, sf_dir)
+    return _page_links(_crawled(spark, sf_dir))
+
+
+def _page_links(store: CrawlStore) -> DataFrame:
     page = store.page().select("id", "url")
     return (
         store.link()
@@ -509,12 +529,62 @@ def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redirect_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The store after a second visit to the pages that answered with a redirect."""
+    """Pages, frontier and links after a second visit to the pages that answered with a redirect."""
     store = _crawled(spark, sf_dir)
     crawl.redirect_pass(store, fetched(derived(spark, sf_dir, "pages_xc")), SCOPE, _files(spark, sf_dir))
-    return _states(store).where("page_type_code <> 'FRONTIER'").select(
-        "url", "page_type_code", "http_status_code", "html_content_hash"
+    state = _states(store).select(
+        F.lit("page").alias("record"), "url", "page_type_code", "http_status_code", "html_content_hash"
     )
+    link = _page_links(store).select(F.lit("link").alias("record"), F.col("from_url").alias("url"), "to_url")
+    return state.unionByName(link, allowMissingColumns=True)
+
+
+def _seeds(spark, sf_dir) -> DataFrame:
+    return derived(spark, sf_dir, "archive").where("page_id % 8 = 0").select("url")
+
+
+def archive_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crawl from seeds through an archive, generation after generation, until nothing is due."""
+    store = CrawlStore.create(spark, _new_folder(spark, "archive"))
+    store.add_frontier(_seeds(spark, sf_dir))
+    archive = fetched(derived(spark, sf_dir, "archive"))
+    crawl.crawl_archive(store, archive, crawl.Crawl(SCOPE), _files(spark, sf_dir))
+    return _states(store)
+
+
+def store_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store that was filled, emptied, seeded anew and crawled once: pages, sites, codes."""
+    store = CrawlStore.create(spark, _new_folder(spark, "reset"))
+    x = derived(spark, sf_dir, "pages_xc")
+    store.add_frontier(x.select("url"))
+    crawl.process_batch(store, fetched(x), crawl.Crawl(SCOPE))
+    store.reset()
+    store.add_frontier(_seeds(spark, sf_dir))
+    archive = fetched(derived(spark, sf_dir, "archive"))
+    crawl.process_batch(store, archive, crawl.Crawl(SCOPE), _files(spark, sf_dir))
+    parts = [
+        _states(store).select(F.lit("page").alias("record"), F.col("url").alias("name"), "page_type_code"),
+        store.table("site").select(F.lit("site").alias("record"), F.col("domain").alias("name")),
+        store.table("data_type").select(F.lit("data_type").alias("record"), F.col("code").alias("name")),
+    ]
+    return parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
+
+
+def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs that arrive in three parts, many more than once, each kept at its first arrival.
+
+    The state store knows what earlier parts brought, over two restarts of the stream.
+    """
+    folder = _new_folder(spark, "distinct")
+    x = fetched(derived(spark, sf_dir, "pages_xc"))
+    again = fetched(derived(spark, sf_dir, "pages_x"))
+    for part in (again.where("http_status_code = 200"), x.unionByName(again), x):
+        part.write.mode("append").parquet(f"{folder}/arrivals")
+        first = distinct_stream(readers.fetched_page_stream(spark, f"{folder}/arrivals", files_per_batch=10_000))
+        writer = first.select("url", "http_status_code").writeStream.format("parquet")
+        query = writer.option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True)
+        query.start(f"{folder}/distinct").awaitTermination()
+    return spark.read.schema("url string, http_status_code int").parquet(f"{folder}/distinct")
 
 
 def batch_after_fault(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -596,6 +666,7 @@ QUERIES = {
         robots_texts, sitemap_urls, sitemap_texts, page_scans, frontier_counts, page_lookups,
         frontier_insert, page_update, link_insert, repoint_links, dimension_upsert,
         constraint_report, page_states, crawl_links, redirect_pass, stream_crawl,
+        canonical_repoint, archive_generations, store_reset, stream_distinct,
         batch_after_fault, stored_images, stored_documents, access_times, rejects,
     )
 }
