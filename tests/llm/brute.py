@@ -53,7 +53,7 @@ def kept_lines(rows):
     def key(line):
         return line.strip(" \t\n\x0b\x0c\r").translate(ASCII_LOWER)
 
-    ids = [2**63 - 1 if i is None else i for i, _ in rows]
+    ids = [2**63 if i is None else i for i, _ in rows]  # none comes after all
     for i, (_, text) in zip(ids, rows, strict=True):
         for line in (text or "").split("\n"):
             if len(key(line)) >= 10:

@@ -118,15 +118,59 @@ def test_runs_are_compacted(spark):
     runs = line_dedup.LineRuns(spark, 2)
     for batch in range(4):
         lines = spark.createDataFrame(
-            [(batch, bytes([i])) for i in range(batch, batch + 3)], "id bigint, h binary"
+            [(str(batch), batch, bytes([i])) for i in range(batch, batch + 3)], "key string, id bigint, h binary"
         )
         lost = {r.h[0] for r in line_dedup.absorb(runs, lines).collect()}
         assert lost == (set() if not batch else {batch, batch + 1})
-    assert {level: len(names) for level, names in runs.levels.items()} == {0: 1, 1: 1}
-    known = {r.h[0]: r.first for r in runs.known().collect()}
+    assert {level: len(names) for level, names in runs.levels.items()} == {0: 2, 1: 1}
+    known = {r.h[0]: r.first for name in runs.names() for r in spark.table(name).collect()}
     assert known == {0: 0, 1: 0, 2: 0, 3: 1, 4: 2, 5: 3}
 
 
+def test_runs_are_neither_shuffled_nor_sorted(spark):
+    """The plans of a batch that meets the runs, of its new hashes, and of a compaction."""
+    runs = line_dedup.LineRuns(spark, 4)
+    rows = [(i % 50 + 100 * batch, bytes([batch, i])) for batch in range(3) for i in range(200)]
+    for batch in range(3):
+        mine = [(h, i) for i, h in rows if i // 100 == batch]
+        table = spark.createDataFrame(mine, "h binary, first bigint")
+        runs.levels.setdefault(0, []).append(runs.write(runs.dealt(table)))
+    batch = spark.table(runs.write(runs.dealt(spark.createDataFrame([(r[1], 1) for r in rows], "h binary, own bigint"))))
+    with line_dedup.sorted_buckets(spark):
+        both = runs.merged(*runs.names()[:2])
+        for met, tables in ((runs.meet(batch), 4), (runs.meet(batch, "left_anti"), 4), (both, 2)):
+            plan = met._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == tables - 1 and plan.count("Bucketed: true") == tables
+            assert "Exchange" not in plan and "Sort [" not in plan
+        name = runs.write(both)
+        assert sorted(r.h for r in spark.table(name).collect()) == sorted(h for _, h in rows if h[0] < 2)
+        assert len(spark.table(name).inputFiles()) == 4  # one a bucket, as they were
+        assert runs.meet(batch, "left_anti").count() == 0
+        assert {r.h: r.first for r in runs.meet(batch).collect()} == {h: i for i, h in rows}
+
+
+def test_lines_at_the_ends_of_ids(spark):
+    """No id comes after the largest one; rows without an id are one document."""
+    shared, own = "a line that several documents share", "a line without an id"
+    rows = [(2**63 - 1, shared), (None, shared), (None, f"{own}\n{shared}"), (-(2**63), own.upper()), (None, own)]
+    rows += [(None, f"only here, twice over {i % 2}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for batches in (1, 3):
+        got = line_dedup.dedup_lines(docs, batches).collect()
+        expected = sorted((str(i), *row) for (i, _), row in zip(rows, brute.kept_lines(rows), strict=True))
+        assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.kept) for r in got) == expected
+
+
+def test_copies_at_the_ends_of_ids(spark):
+    rows = [(-(2**63), "a b"), (2**63 - 1, "ab"), (5, "a b"), (2**63 - 1, "c"), (None, "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.text_sha256): r.keep_id for r in exact_dedup.exact_dedup(docs).collect()}
+    ab, c = (hashlib.sha256(t).hexdigest() for t in (b"ab", b"c"))
+    assert got == {
+        (-(2**63), ab): -(2**63), (2**63 - 1, ab): -(2**63), (5, ab): -(2**63), (2**63 - 1, c): 2**63 - 1, (None, c): 2**63 - 1
+    }
+
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 

@@ -44,10 +44,10 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def winners(rows: DataFrame) -> DataFrame:
     """One row per digest: the longest original text, then the smallest id; and the row count."""
-    # Null ids come last; the maximum of -id is the smallest id.
-    best = F.max(F.struct("length", (-F.col("id")).alias("back")))
+    # Null ids come last. Lengths are far from the ends of their type, ids need not be.
+    best = F.min(F.struct((-F.col("length")).alias("less"), F.col("id").isNull().alias("none"), "id"))
     return rows.groupBy("digest").agg(best.alias("b"), F.count("*").alias("n")).select(
-        "digest", (-F.col("b.back")).alias("id"), F.col("b.length").alias("length"), "n"
+        "digest", "b.id", (-F.col("b.less")).alias("length"), "n"
     )
 
 

@@ -1,28 +1,33 @@
 """Lines that several documents share, through levelled sorted runs of line hashes.
 
 Documents arrive in batches of rising id. The hashes seen so far lie in runs: tables
-bucketed and sorted by hash, each with the smallest document id per hash. A new batch
-meets the runs bucket by bucket (the runs aren't shuffled again), loses the lines
-they know, and adds the hashes they don't as a run of level 0. ``FANOUT`` runs of one
-level are merged into one of the next, so a batch meets few runs.
+bucketed by hash, one file a bucket, sorted by hash, each hash with the smallest document id.
+A new batch becomes such a table as well and meets the runs one by one in merge joins,
+bucket by bucket: neither a run nor the batch is shuffled or sorted for them. It loses the lines
+that the runs know, and the hashes that they don't become a run of level 0, written as the merge
+anti join yields them. Before a batch, two runs of one level are merged into one of the next, by
+bucket again, so it meets few runs.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webloom.llm.common import WHITE, fresh, in_pieces, map_arrow, stage, staged_path, utf8
 
 MIN_CHARS = 10
-FANOUT = 3
+FANOUT = 2
 BATCHES = 4
 
 
@@ -34,18 +39,45 @@ def line_key(line: bytes, min_chars: int = MIN_CHARS) -> bytes | None:
     return xxhash.xxh3_128_digest(key)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """What rows that lose the same lines have in common: the id or, without one, the text.
+
+    All rows without an id are one document, but no row of theirs has to carry the lines of all.
+    """
+    text = F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    return F.coalesce(F.col(id_col).cast("string"), text)
+
+
 def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, h): the hashes of each document's long enough line keys, each once a document."""
+    """(key, id, h): the hashes of each row's long enough line keys; ``key`` as ``row_key``."""
 
     def body(part: pa.RecordBatch) -> dict:
-        ids, hashes = [], []
+        keys, ids, hashes = [], [], []
         for id_, text in zip(part.column(0).to_pylist(), utf8(part.column(1)), strict=True):
             found = {line_key(line) for line in text.split(b"\n")} - {None}
+            key = str(id_) if id_ is not None else f"text {hashlib.md5(text).hexdigest()}"
+            keys += [key] * len(found)
             ids += [id_] * len(found)
             hashes += found
-        return {"id": pa.array(ids, pa.int64()), "h": pa.array(hashes, pa.binary())}
+        return {
+            "key": pa.array(keys, pa.string()),
+            "id": pa.array(ids, pa.int64()),
+            "h": pa.array(hashes, pa.binary()),
+        }
 
-    return map_arrow(docs, [id_col, text_col], body, "id bigint, h binary")
+    return map_arrow(docs, [id_col, text_col], body, "key string, id bigint, h binary")
+
+
+@contextmanager
+def sorted_buckets(spark: SparkSession) -> Iterator[None]:
+    """Lets plans rely on the order within the files of bucketed tables: ours have one a bucket."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 @dataclass
@@ -56,58 +88,94 @@ class LineRuns:
     buckets: int
     levels: dict[int, list[str]] = field(default_factory=dict)
 
-    def known(self) -> DataFrame | None:
-        """(h, first): what the runs hold. A hash lies in one run only."""
-        names = [name for level in self.levels.values() for name in level]
-        return _union([self.spark.table(name) for name in names]) if names else None
-
-    def add(self, hashes: DataFrame) -> None:
-        """``hashes`` (h, first) as a new run; full levels are merged upwards."""
-        self._write(hashes, 0)
-        level = 0
-        while len(self.levels.get(level, ())) >= FANOUT:
-            self._write(_union([self.spark.table(n) for n in self.levels.pop(level)]), level + 1)
-            level += 1
+    def names(self) -> list[str]:
+        return [name for level in self.levels.values() for name in level]
 
-    def _write(self, hashes: DataFrame, level: int) -> None:
+    def write(self, hashes: DataFrame) -> str:
+        """``hashes``, which lie in the buckets already, as a bucketed and sorted table; its name."""
         name = f"line_run_{uuid.uuid4().hex}"
         (
-            hashes.repartition(self.buckets, "h")
-            .write.bucketBy(self.buckets, "h")
+            hashes.write.bucketBy(self.buckets, "h")
             .sortBy("h")
             .option("path", staged_path(self.spark, name))
             .saveAsTable(name)
         )
-        self.levels.setdefault(level, []).append(name)
+        return name
+
+    def dealt(self, hashes: DataFrame) -> DataFrame:
+        """``hashes`` in the buckets of the runs: the one shuffle of a batch."""
+        return hashes.repartition(self.buckets, "h")
+
+    def meet(self, batch: DataFrame, how: str = "left") -> DataFrame:
+        """``batch`` (a table of ``write``) joined to every run in turn; ``first`` of the run that knows h.
+
+        A hash lies in one run only. A left anti join leaves the hashes that no run knows.
+        """
+        firsts = []
+        for number, name in enumerate(self.names()):
+            run = self.spark.table(name)
+            if how == "left":
+                firsts.append(f"_first{number}")
+                run = run.withColumnRenamed("first", firsts[-1])
+            batch = batch.join(run.hint("merge"), "h", how)
+        if how != "left":
+            return batch
+        known = F.coalesce(*firsts) if firsts else F.lit(None).cast("bigint")
+        return batch.withColumn("first", known).drop(*firsts)
+
+    def add(self, name: str) -> None:
+        """A new run of level 0."""
+        self.levels.setdefault(0, []).append(name)
+
+    def compact(self) -> None:
+        """Two runs of one level become one of the next, until no level has two."""
+        level = 0
+        while level in self.levels:
+            while len(self.levels[level]) >= FANOUT:
+                merged = self.write(self.merged(*self.levels[level][:FANOUT]))
+                self.levels[level] = self.levels[level][FANOUT:]
+                self.levels.setdefault(level + 1, []).append(merged)
+            level += 1
 
+    def merged(self, name: str, other: str) -> DataFrame:
+        """The rows of two runs: a full merge join of their buckets, without a shuffle.
 
-def _union(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.union(table)
-    return out
+        Not a union: unions of bucketed scans lose their buckets when they are written.
+        """
+        right = self.spark.table(other).withColumnRenamed("first", "_other")
+        both = self.spark.table(name).hint("merge").join(right, "h", "full")
+        return both.select("h", F.coalesce("first", "_other").alias("first"))
+
+    def forget(self, names: list[str]) -> None:
+        """Take tables that nothing reads any more out of the catalog."""
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def absorb(runs: LineRuns, lines: DataFrame) -> DataFrame:
-    """(id, h) of the lines that a batch (``line_hashes``) loses; the runs gain its new hashes.
+    """(key, h) of the lines that a batch (``line_hashes``) loses; the runs gain its new hashes.
 
-    Every id of the batch must be above those of earlier batches (null: the last).
+    Every id of the batch must be above those of earlier batches. Rows without an id are
+    one document, the last of all: they belong to the last batch.
     """
     once = lines.groupBy("h").agg(
-        F.min("id").alias("own"), F.count("*").alias("holders"), F.max("id").alias("last")
-    )
-    known = runs.known()
-    if known is None:
-        met = once.withColumn("first", F.lit(None).cast("bigint"))
-    else:
-        met = once.join(known, "h", "left")
-    met = stage(met, "met")
-    runs.add(met.where("first IS NULL").select("h", F.col("own").alias("first")))
-    # Hashes of one holder only lose nothing and don't meet the lines again.
-    shared = met.where("first IS NOT NULL OR own <> last").select(
-        "h", F.coalesce("first", "own").alias("owner")
+        F.min("id").alias("own"), F.max("id").alias("last"), F.bool_or(F.col("id").isNull()).alias("none")
     )
-    return stage(lines.join(shared, "h").where("id <> owner").select("id", "h"), "lost")
+    batch = runs.write(runs.dealt(once))
+    with sorted_buckets(runs.spark):
+        runs.compact()
+        met = runs.meet(runs.spark.table(batch))
+        # Hashes of one holder only lose nothing and don't meet the lines again.
+        several = (F.col("own") != F.col("last")) | (F.col("none") & F.col("own").isNotNull())
+        shared = stage(
+            met.where(F.col("first").isNotNull() | several).select("h", F.coalesce("first", "own").alias("owner")),
+            "shared",
+        )
+        new = runs.meet(runs.spark.table(batch), "left_anti").select("h", F.col("own").alias("first"))
+        runs.add(runs.write(new))
+    runs.forget([batch])
+    gone = lines.join(shared, "h").where(~F.col("id").eqNullSafe(F.col("owner")))
+    return stage(gone.select("key", "h"), "lost")
 
 
 def bounds(docs: DataFrame, id_col: str, batches: int) -> list[int]:
@@ -115,41 +183,43 @@ def bounds(docs: DataFrame, id_col: str, batches: int) -> list[int]:
     probabilities = [i / batches for i in range(1, batches)]
     if not probabilities:
         return []
-    return sorted({int(b) for b in docs.approxQuantile(id_col, probabilities, 0.01)})
+    ends = {int(b) for b in docs.approxQuantile(id_col, probabilities, 0.01)}
+    return sorted(end for end in ends if end < 2**63 - 1)  # no id lies above the largest
 
 
 def lost_lines(
     docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, lost): for each document that loses lines, the hashes of their keys."""
-    spark, last = docs.sparkSession, F.lit(2**63 - 1)
-    hashes = line_hashes(docs, id_col, text_col).withColumn("id", F.coalesce("id", last))
+    """(key, lost): for each ``row_key`` that loses lines, the hashes of their keys."""
+    spark = docs.sparkSession
+    hashes = line_hashes(docs, id_col, text_col)
     # A repeated row holds the same lines as its twin; both count as one document.
     ends = bounds(docs, id_col, batches)
-    number = sum((F.col("id") > end).cast("int") for end in ends) if ends else F.lit(0)
+    after = [F.coalesce(F.col("id") > end, F.lit(True)).cast("int") for end in ends]
+    number = sum(after) if ends else F.lit(0)
     path = staged_path(spark, "lines")
     hashes.withColumn("batch", number).write.partitionBy("batch").parquet(path)
-    lines = spark.read.schema("id bigint, h binary, batch int").parquet(path)
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    runs = LineRuns(spark, buckets)
+    lines = spark.read.schema("key string, id bigint, h binary, batch int").parquet(path)
+    runs = LineRuns(spark, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     lost = [
-        absorb(runs, lines.where(F.col("batch") == b).select("id", "h"))
+        absorb(runs, lines.where(F.col("batch") == b).select("key", "id", "h"))
         for b in range(len(ends) + 1)
     ]
-    return _union(lost).groupBy("id").agg(F.collect_set("h").alias("lost"))
+    runs.forget(runs.names())
+    return reduce(DataFrame.union, lost).groupBy("key").agg(F.collect_set("h").alias("lost"))
 
 
 def drop_lines(
     docs: DataFrame, lost: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[DataFrame, str, str]:
-    """``docs``, all columns, without the lines of ``lost`` (id, lost); the names of two counts.
+    """``docs``, all columns, without the lines of ``lost`` (key, lost); the names of two counts.
 
     The counts are the lines before, and the lines that went. A null text stays null.
     """
     key, gone = fresh(docs, "key"), fresh(docs, "lost")
     before, went = fresh(docs, "n_lines"), fresh(docs, "n_dropped")
-    named = lost.select(F.col("id").alias(key), F.col("lost").alias(gone))
-    both = docs.withColumn(key, F.coalesce(F.col(id_col), F.lit(2**63 - 1))).join(named, key, "left")
+    named = lost.select(F.col("key").alias(key), F.col("lost").alias(gone))
+    both = docs.withColumn(key, row_key(id_col, text_col)).join(named, key, "left")
     names, at = docs.columns, docs.columns.index(text_col)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,8 +254,8 @@ def dedup_lines(
     A key is a line stripped of white space with A-Z lower-cased. Keys of ten code
     points or more that several documents hold stay in the one with the smallest
     id, with all their lines there, and go from the others. Null and empty texts have
-    one empty line; null ids count as the largest; rows that share an id are one
-    document (each keeps a row). An empty table gives no rows. Other columns are
+    one empty line; rows without an id are one document that comes after all others; rows
+    that share an id are one document too (each keeps a row). An empty table gives no rows. Other columns are
     not read.
     """
     lost = lost_lines(docs, batches, id_col, text_col)
