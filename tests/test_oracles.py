@@ -11,6 +11,7 @@ SF = "/root/testdata/sf0.001"
 # The whole crawls have tests of their own; one of them stands for all here.
 LONG = {
     "crawl_links", "redirect_pass", "stream_crawl", "stored_images", "stored_documents", "access_times",
+    "archive_generations", "store_reset",
 }
 
 
