@@ -24,13 +24,20 @@ SIMILARITY = 0.8
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages: texts without a letter and ambiguous ones go."""
+    """Documents in one of the learned languages: texts without a letter and ambiguous ones go.
+
+    Null and empty texts have no letter. Repeated rows are judged alike; all columns stay.
+    """
     model = language.train(docs, ~language.held_out())
     return language.keep_identified(docs, model)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that one of smaller id holds; ``n_chars`` follows the text."""
+    """All documents, without the lines that one of smaller id holds; ``n_chars`` follows the text.
+
+    A null text stays null. Rows that share an id are one document; rows without an id are one
+    that comes after all others. All columns stay, whatever their names.
+    """
     out, before, went = line_dedup.drop_lines(docs, line_dedup.lost_lines(docs))
     out = out.drop(before, went)
     if "n_chars" in docs.columns:
@@ -40,14 +47,20 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id from each group of near-duplicates; those without an id stay."""
+    """The document of smallest id from each group of near-duplicates; those without an id stay.
+
+    Of the rows that share the smallest id all stay. All columns stay.
+    """
     found = simhash.similar_documents(docs, **NEAR, similarity=SIMILARITY)
     removed = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(removed, "doc_id", "left_anti")
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its rate says, on average; those without an id once."""
+    """Each document as often as its rate says, on average; those without an id once.
+
+    Rows that share an id occur equally often. All columns stay, whatever their names.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     times = fresh(docs, "copies")
     mixed = mixing.mix(docs, labels).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
