@@ -14,6 +14,7 @@ from tests.llm import brute
 from webloom.llm import embeddings, language, mixing, pieces, simhash, url_filter
 from webloom.llm.common import components
 from webloom.llm.queries import QUERIES
+from webloom.operators.joins import hot_key_join
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,6 +44,52 @@ def test_simhash(odd, odd_rows):
     assert sorted((str(r.doc_id), r.fingerprint, r.component_id) for r in got) == sorted(expected)
 
 
+def test_one_row_of_each_group_stays(odd, odd_rows):
+    """Repeated ids, rows without an id and repeated rows included; all columns stay."""
+    prints = [brute.simhash(t, 3) for _, t in odd_rows]
+    order = [(i is None, i or 0) for i, _ in odd_rows]
+    roots = brute.components(
+        list(range(len(odd_rows))), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2
+    )
+    groups = {}
+    for at, root in enumerate(roots):
+        groups.setdefault(root, []).append(at)
+    got = simhash.one_of_each(odd)
+    assert got.columns == odd.columns
+    assert simhash.one_of_each(odd.limit(0)).collect() == []
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    assert len(left) == len(groups)
+    for members in groups.values():
+        best = min(order[at] for at in members)
+        stays = {odd_rows[at] for at in members if order[at] == best}
+        assert sum(row in stays and any(odd_rows[at] == row for at in members) for row in left) >= 1
+
+
+@pytest.mark.parametrize("hot", [None, 7])
+def test_one_of_each_with_half_of_all_rows_alike(spark, hot):
+    """Half of the rows are one text, all without an id or all with the same."""
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(900)]
+    texts = {100 + n: " ".join(draw.choices(words, k=60)) for n in range(40)}
+    same = [(hot, "the same words in each of these rows " * 3, n) for n in range(40)]
+    docs = spark.createDataFrame(
+        [*((i, t, 0) for i, t in texts.items()), *same], "doc_id bigint, text string, _at int"
+    )
+    got = simhash.one_of_each(docs.repartition(5))
+    assert got.columns == docs.columns
+    ids = [r.doc_id for r in got.collect()]
+    assert len(ids) == 41 and set(ids) == {*texts, hot}
+
+
+def test_simhash_with_a_hot_fingerprint(spark, monkeypatch):
+    """Rows of a frequent fingerprint go to several tasks and come back whole."""
+    monkeypatch.setattr(simhash, "hot_key_join", lambda *args: hot_key_join(*args, rows_per_task=10))
+    rows = [(i, "one text of many rows") for i in range(60)] + [(i, f"text {i} of its own kind") for i in range(60, 90)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(r.doc_id for r in got) == list(range(90))
+    assert {r.component_id for r in got if r.doc_id < 60} == {0}
+
+
 def test_simhash_of_documents(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     prints = [brute.simhash(r.text, 3) for r in rows]

@@ -24,6 +24,7 @@ from webloom.llm.common import (
     components,
     deal_buckets,
     deal_hot_buckets,
+    fresh,
     map_arrow,
     stage,
     utf8,
@@ -329,13 +330,53 @@ def near_duplicates(
     """
     rows = stage(fingerprints(docs, words, sketches, id_col, text_col), "fingerprints")
     classes = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    found = components(links(classes, 8 * sketches, distance, run))
-    rooted = classes.join(found, classes.fp == found.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = stage(rooted, "rooted")
+    rooted = stage(_rooted(classes, sketches, distance, run), "rooted")
     roots = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
     named = stage(rooted.join(roots, "root").select("fp", "component_id"), "named")
-    return rows.join(named, "fp").select(
+    # Any number of rows may share a fingerprint: those of a hot one go to several tasks.
+    spread = rows.withColumn("_at", F.monotonically_increasing_id())
+    return hot_key_join(spread, named, "fp", "_at", "inner").select(
         F.col("id").alias(id_col), F.lower(F.hex("fp")).alias("fingerprint"), "component_id"
     )
+
+
+def _rooted(classes: DataFrame, sketches: int, distance: int, run: int) -> DataFrame:
+    """(fp, least, root) of every fingerprint of ``classes`` (fp, least)."""
+    found = components(links(classes, 8 * sketches, distance, run))
+    return classes.join(found, classes.fp == found.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+
+
+def one_of_each(
+    docs: DataFrame,
+    words: int = 3,
+    sketches: int = 1,
+    distance: int = 2,
+    run: int = 3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of ``docs``, with all its columns, from each component of ``near_duplicates``.
+
+    The row of smallest id stays; rows without an id come after all others, and of the
+    rows that share the smallest id one stays. Rows are told apart by a number of their own,
+    so neither a repeated id nor a missing one takes a row of another group with it. Null and
+    empty texts are one group, with all whose fingerprint is near zero.
+    """
+    at = fresh(docs, "_at")
+    numbered = stage(docs.withColumn(at, F.monotonically_increasing_id()), "numbered")
+
+    def body(part: pa.RecordBatch) -> dict:
+        return {
+            "id": part.column(0).cast(pa.int64()),
+            "at": part.column(1),
+            "fp": pa.array([fingerprint(t, words, sketches) for t in utf8(part.column(2))], pa.binary()),
+        }
+
+    rows = map_arrow(numbered, [id_col, at, text_col], body, "id bigint, at bigint, fp binary")
+    first = F.struct(F.col("id").isNull().alias("unnamed"), "id", "at")
+    classes = stage(rows.groupBy("fp").agg(F.min(first).alias("least")), "classes")
+    rooted = _rooted(classes, sketches, distance, run)
+    stay = stage(rooted.groupBy("root").agg(F.min("least").alias("least")), "stay")
+    return numbered.join(stay.select(F.col("least.at").alias(at)), at, "left_semi").drop(at)
