@@ -15,12 +15,8 @@ from webloom.llm import language, line_dedup, mixing, pieces, simhash
 from webloom.llm.common import fresh, stage
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Fingerprints of 512 bits over five-word shingles. Texts whose shingle sets have a
-#: Jaccard similarity of 0.8 differ in 15 % of the bits on average (77.6, deviation 8.1):
-#: 99.9 % of them in 104 at most, and 98 % share 16 neighbouring bits.
-NEAR = {"words": 5, "sketches": 8, "distance": 104, "run": 2}
-#: What the shingle sets of linked texts have in common, at least.
-SIMILARITY = 0.8
+#: Shingle length and largest number of differing bits, as in ``op5_simhash``.
+NEAR = {"words": 3, "distance": 2}
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +43,13 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id from each group of near-duplicates; those without an id stay.
+    """The document of smallest id from each group of near-duplicates, all columns as they are.
 
-    Of the rows that share the smallest id all stay. All columns stay.
+    Groups are those of the SimHash operator. Rows without an id come after all others, and of
+    rows that share the smallest id one stays. Null texts and texts without words are one group.
+    An empty table stays empty.
     """
-    found = simhash.similar_documents(docs, **NEAR, similarity=SIMILARITY)
-    removed = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(removed, "doc_id", "left_anti")
+    return simhash.one_of_each(docs, **NEAR)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
