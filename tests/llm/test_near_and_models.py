@@ -9,7 +9,6 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as formats
 
-import corpus_pipeline
 from tests.llm import brute
 from webloom.llm import embeddings, language, mixing, pieces, simhash, url_filter
 from webloom.llm.common import components
@@ -163,7 +162,7 @@ def test_search_finds_pairs_at_the_similarity(spark):
         assert 0.8 <= jaccard(text, copy) <= 0.82
         rows += [(2 * number, " ".join(text)), (2 * number + 1, " ".join(copy))]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = simhash.near_duplicates(docs, **corpus_pipeline.NEAR).collect()
+    got = simhash.near_duplicates(docs, words=5, sketches=8, distance=104, run=2).collect()
     found = {r.doc_id: r.component_id for r in got}
     assert all(found[i] // 2 == i // 2 for i in found)
     assert sum(found[2 * n + 1] == 2 * n for n in range(300)) >= 0.95 * 300

@@ -10,7 +10,6 @@ distances have no such guarantee: there nothing but the full check follows the k
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,7 +33,6 @@ from webloom.operators.joins import hot_key_join
 
 SEED = 42
 BLOCK = 2_000  # fingerprints of one key that a task compares with as many others
-SETS = 500  # shingle sets of one family, likewise
 SMALL = 512  # rows of a bucket up to which those without a neighbour are sorted out first
 SLICE = 65_536  # shingles whose bits are counted at a time
 
@@ -196,119 +194,6 @@ def links(classes: DataFrame, segments: int, distance: int, run: int) -> DataFra
     return dealt.select(*GROUP, "fp").mapInArrow(find, "a binary, b binary")
 
 
-def shingle_sets(docs: DataFrame, words: int, text_col: str) -> DataFrame:
-    """(shingles, text) of every row with words; ``shingles`` names the set of its shingles."""
-
-    def body(part: pa.RecordBatch) -> dict:
-        texts = [text for text in utf8(part.column(0)) if text.split()]
-        return {
-            "shingles": pa.array([set_name(np.unique(shingle_hashes(t, words))) for t in texts], pa.binary()),
-            "text": pa.array(texts, pa.binary()),
-        }
-
-    return map_arrow(docs, [text_col], body, "shingles binary, text binary")
-
-
-def set_name(hashes: np.ndarray) -> bytes:
-    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-
-
-class Sets:
-    """Which shingle sets of a family have a Jaccard similarity of ``least`` or more."""
-
-    def __init__(self, sets: list[bytes], least: float):
-        self.sizes = np.array([len(held) // 8 for held in sets])
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        known, at = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
-        self.members, self.known, self.least = at.astype(np.int32), len(known), least
-
-    def near(self, one: int, others: np.ndarray) -> np.ndarray:
-        own = np.zeros(self.known, bool)
-        own[self.members[self.starts[one] : self.starts[one + 1]]] = True
-        low, high = others[0], others[-1] + 1  # ascending
-        held = own[self.members[self.starts[low] : self.starts[high]]]
-        shared = np.add.reduceat(held, self.starts[low:high] - self.starts[low], dtype=np.int64)[others - low]
-        return shared / (self.sizes[one] + self.sizes[others] - shared) >= self.least
-
-
-def similar_sets(docs: DataFrame, families: DataFrame, words: int, similarity: float, text_col: str) -> DataFrame:
-    """(a, b): links that join the sets within a family that are as similar as ``similarity``.
-
-    ``families`` (shingles, family) holds every set once. The sets are computed from a text
-    each, and all of a family meet, in blocks if there are more than ``SETS``. The links
-    are a spanning forest of what is similar.
-    """
-    large = families.groupBy("family").agg(F.count("*").alias("n")).where("n > 1").select("family")
-    wanted = stage(families.join(large, "family"), "families")
-    texts = hot_key_join(shingle_sets(docs, words, text_col), wanted, "shingles", "text", "inner")
-    one = texts.groupBy("shingles").agg(F.min("family").alias("key"), F.min("text").alias("text"))
-
-    def body(part: pa.RecordBatch) -> dict:
-        held = [np.unique(shingle_hashes(text, words)).tobytes() for text in utf8(part.column(2))]
-        return {"shingles": part.column(0), "key": part.column(1), "held": pa.array(held, pa.binary())}
-
-    columns = "shingles binary, key bigint, held binary"
-    sets = stage(map_arrow(one, ["shingles", "key", "text"], body, columns), "sets")
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in whole_groups(batches):
-            names, a, b = table["shingles"].to_pylist(), [], []
-            for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-                near = Sets(table["held"].slice(low, high - low).to_pylist(), similarity).near
-                for x, y in spanning(high - low, near):
-                    a.append(names[low + x])
-                    b.append(names[low + y])
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    dealt = deal_buckets(sets, "shingles", SETS)
-    return dealt.select(*GROUP, "shingles", "held").mapInArrow(find, "a binary, b binary")
-
-
-def similar_documents(
-    docs: DataFrame,
-    words: int,
-    sketches: int,
-    distance: int,
-    run: int,
-    similarity: float,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """(id, component_id) of every row of ``docs``, linked by the similarity of shingle sets.
-
-    Texts are linked if the Jaccard similarity of their sets of shingles is ``similarity`` or
-    more; component_id is the smallest id that links reach. No link is less similar. The
-    search compares all sets of a family, which links of ``fingerprints`` over distinct
-    shingles join: it finds what ``links`` finds, and more. Texts of the same set are always
-    linked, as are null and empty texts; null ids never name a component that holds an id.
-    """
-
-    def body(part: pa.RecordBatch) -> dict:
-        sets = [np.unique(shingle_hashes(t, words)) for t in utf8(part.column(1))]
-        return {
-            "id": part.column(0).cast(pa.int64()),
-            "shingles": pa.array([set_name(held) for held in sets], pa.binary()),
-            "fp": pa.array([fingerprint_of(held, sketches) if len(held) else None for held in sets], pa.binary()),
-        }
-
-    columns = "id bigint, shingles binary, fp binary"
-    rows = stage(map_arrow(docs, [id_col, text_col], body, columns), "fingerprints")
-    classes = stage(rows.groupBy("shingles").agg(F.min("id").alias("least"), F.min("fp").alias("fp")), "classes")
-    prints = classes.where("fp IS NOT NULL").select("shingles", "fp")
-    found = components(links(prints.select("fp").distinct(), 8 * sketches, distance, run))
-    families = prints.join(found, prints.fp == found.node, "left").select(
-        "shingles", F.xxhash64(F.coalesce("root", "fp")).alias("family")
-    )
-    similar = components(similar_sets(docs, families, words, similarity, text_col))
-    rooted = classes.join(similar, classes.shingles == similar.node, "left").select(
-        "shingles", "least", F.coalesce("root", "shingles").alias("root")
-    )
-    rooted = stage(rooted, "rooted")
-    roots = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
-    named = stage(rooted.join(roots, "root").select("shingles", "component_id"), "named")
-    return rows.join(named, "shingles").select(F.col("id").alias(id_col), "component_id")
-
-
 def near_duplicates(
     docs: DataFrame,
     words: int = 3,
