@@ -114,7 +114,7 @@ def train(
     for language in languages:
         share = train_docs / totals[language]
         wanted = wanted | ((F.col(lang_col) == language) & (chance < share))
-    sample = known.where(wanted).select(lang_col, text_col)
+    sample = known.where(wanted).select(id_col, lang_col, text_col)
 
     def body(part: pa.RecordBatch) -> dict:
         counts: dict[str, np.ndarray] = {}
@@ -133,7 +133,8 @@ def train(
             "n": pa.array(np.concatenate(n)),
         }
 
-    spread = sample.repartition(F.xxhash64(text_col))
+    # By id and text, so that one text of many rows isn't one task's.
+    spread = sample.repartition(F.xxhash64(id_col, text_col))
     counted = map_arrow(spread, [lang_col, text_col], body, "lang string, bucket int, n bigint")
     rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(languages), BUCKETS))
