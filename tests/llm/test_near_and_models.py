@@ -1,12 +1,17 @@
 """Near-duplicates, vectors, language, URLs, pieces and mixing against plain versions."""
 
+import itertools
+import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from sentencepiece import sentencepiece_model_pb2 as formats
 
 from tests.llm import brute
@@ -265,6 +270,89 @@ def test_wrong_bits_are_corrected():
     assert model.decode(np.zeros(bits))[2]  # nothing speaks for any: ambiguous
 
 
+def plain_language(known, texts):
+    """[(language, score)] of ``texts``: counts, log odds, margins and decoding with dictionaries.
+
+    ``known`` are all (text, language) rows of training. With up to six languages there is one
+    bit for each way to split them in two, whichever half is called 1.
+    """
+    names = sorted({lang for _, lang in known})
+    splits = [
+        s for s in itertools.product([0, 1], repeat=len(names)) if s[-1] == 0 and any(s)
+    ]  # the last language is always 0
+
+    def found(text):
+        raw = b" " + text.lower().encode() + b" "
+        raw = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in raw)
+        out = []
+        for order in (2, 3, 4):
+            for i in range(len(raw) - order + 1):
+                h = order
+                for c in raw[i : i + order]:
+                    h = h * 257 + c
+                out.append((h * 0x9E3779B97F4A7C15 % 2**64) >> 48)
+        return out
+
+    counts = {name: Counter() for name in names}
+    for text, lang in known:
+        counts[lang].update(found(text))
+    sums = {name: sum(c.values()) + 0.5 * 65536 for name, c in counts.items()}
+
+    def share(name, b):
+        return (counts[name][b] + 0.5) / sums[name]
+
+    def odds(split, b):
+        ones = [share(n, b) for n, s in zip(names, split, strict=True) if s]
+        rest = [share(n, b) for n, s in zip(names, split, strict=True) if not s]
+        return math.log(sum(ones) / len(ones)) - math.log(sum(rest) / len(rest))
+
+    table = [[odds(split, b) for b in range(65536)] for split in splits]
+    trust = []
+    for split, row in zip(splits, table, strict=True):
+        own = [
+            math.tanh(4 * sum(share(n, b) * row[b] for b in range(65536))) * (1 if s else -1)
+            for n, s in zip(names, split, strict=True)
+        ]
+        trust.append(max(0.05, min(own)))
+    out = []
+    for text in texts:
+        if text is None or not any(c.isalpha() for c in text):
+            out.append(("und", 0.0))
+            continue
+        marks = found(text)
+        margins = [math.tanh(4 * sum(row[b] for b in marks) / len(marks)) for row in table]
+        losses = [
+            sum(
+                t / sum(trust) * math.log1p(math.exp(-2 * (1 if split[k] else -1) * m))
+                for split, m, t in zip(splits, margins, trust, strict=True)
+            )
+            for k in range(len(names))
+        ]
+        least = min(losses)
+        score = 1 / sum(math.exp(-4 * (x - least)) for x in losses)
+        out.append((names[losses.index(least)], score))
+    return out
+
+
+def test_language_by_hand(spark, odd_rows):
+    """The operator against plain counts, margins and decoding, where all rows train."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    odd = [(10**6 + i, text, None) for i, (_, text) in enumerate(odd_rows) if len(text or "") < 5000]
+    both = docs.union(spark.createDataFrame(odd, docs.schema))
+    rows = [r for r in both.collect() if len(r.text or "") < 3000]
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows}
+    known = [(r.text, r.lang) for r in rows if not held[r.doc_id] and r.text is not None and r.lang is not None]
+    plain = plain_language(known, [r.text for r in rows])
+    wanted = {r.doc_id: answer for r, answer in zip(rows, plain, strict=True)}
+    got = language.identify(both.where("length(coalesce(text, '')) < 3000"), 10**9).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        name, score = wanted[r.doc_id]
+        assert r.held_out == held[r.doc_id]
+        assert abs(r.score - score) < 1e-4
+        assert r.lang_pred == name or score < 0.5
+
+
 def judged(url):
     rules = sorted(url_filter.RULES, key=lambda r: -len(r[0]))
     if url is None or "://" not in url:
@@ -309,6 +397,105 @@ def test_segmentation():
     assert url_filter.segment("zzz", counts, total) == ["zzz"]
 
 
+def plain_score(words, counts, total):
+    return sum(
+        math.log(counts[w] / total) if w in counts else -math.log(total) - (len(w) - 1) * math.log(10) - 2
+        for w in words
+    )
+
+
+def test_segmentation_against_all_splits():
+    draw = random.Random(5)
+    for _ in range(60):
+        label = "".join(draw.choices("ab", k=draw.randint(1, 11)))
+        made = {"".join(draw.choices("ab", k=draw.randint(1, 9))): draw.randint(1, 40) for _ in range(8)}
+        counts, total = {w: n for w, n in made.items() if w in label}, sum(made.values())
+        best = -math.inf
+        for cuts in range(1 << len(label) - 1):
+            at = [0, *(i for i in range(1, len(label)) if cuts >> i - 1 & 1), len(label)]
+            split = [label[x:y] for x, y in zip(at, at[1:], strict=False)]
+            best = max(best, plain_score(split, counts, total))
+        got = url_filter.segment(label, counts, total)
+        assert "".join(got) == label
+        assert abs(plain_score(got, counts, total) - best) < 1e-9
+
+
+def test_words_and_labels_of_any_length(spark):
+    """Words beyond the letters of a lookup are found, and a label of thousands of letters is split."""
+    giant = "donaudampfschifffahrtsgesellschaft"
+    words = [(giant, 3), (giant + "en", 2), (giant[:20], 4), (giant[:20] + "zzz", 9), ("kapitän", 6), ("the", 50)]
+    counts = spark.createDataFrame(words, "word string, n bigint")
+    labels = [giant, "the" + giant, giant + "kapitän", giant + "enthe", "the" * 2000, giant * 40, "q" * 5000, ""]
+    got = dict(url_filter.split_labels(spark.createDataFrame([(x,) for x in labels], "label string"), counts).collect())
+    assert got == {
+        giant: [giant],
+        "the" + giant: ["the", giant],
+        giant + "kapitän": [giant, "kapitän"],
+        giant + "enthe": [giant + "en", "the"],
+        "the" * 2000: ["the"] * 2000,
+        giant * 40: [giant] * 40,
+        "q" * 5000: ["q" * 5000],
+        "": [],
+    }
+
+
+def plain_verdicts(rows):
+    """[(rule, verdict, score)] of (url, html) rows: counts, splits and naive Bayes, one row at a time."""
+    counts = Counter()
+    for _, html in rows:
+        text = re.sub(r"(?s)<(?:script|style)\b.*?</(?:script|style)>|<[^>]*>", " ", html or "")
+        counts.update(re.findall(r"[^\W\d_]+", text.lower()))
+    total = max(1, sum(counts.values()))
+
+    def split(label):
+        best = [(0.0, [])]
+        for end in range(1, len(label) + 1):
+            tried = [(best[s][0] + plain_score([label[s:end]], counts, total), s) for s in range(end)]
+            score, s = max(tried)
+            best.append((score, [*best[s][1], label[s:end]]))
+        return best[-1][1]
+
+    def found(host, path):
+        out = ["h:" + word for label in host.split(".") for word in split(label)]
+        for token in re.findall(r"[^\W\d_]+|\d+", path.lower()):
+            out.append(f"p:{len(token)} digits" if token[0].isdigit() else "p:" + token)
+        return [xxhash.xxh3_64_intdigest(x) % url_filter.BUCKETS for x in out]
+
+    urls = [judged(url) for url, _ in rows]
+    seen = {"allow": Counter(), "block": Counter()}
+    for host, path, _, verdict in urls:
+        if verdict:
+            seen[verdict].update(found(host, path))
+    sums = {v: sum(c.values()) + url_filter.BUCKETS for v, c in seen.items()}
+    out = []
+    for host, path, rule, verdict in urls:
+        score = 0.0
+        for b in found(host, path):
+            if seen["allow"][b] + seen["block"][b]:
+                score += math.log((seen["block"][b] + 1) / sums["block"])
+                score -= math.log((seen["allow"][b] + 1) / sums["allow"])
+        out.append((rule, verdict, None) if rule else (None, "block" if score > 0 else "allow", score))
+    return out
+
+
+def test_url_verdicts_by_hand(spark):
+    """Word counts, splits and scores of the operator against plain ones, for every page of a table."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    extra = [(-i, f"http://{h}/{p}", "<i>the rend</i> blog") for i, (h, p) in enumerate(
+        [("therend.org", "en/a1"), ("blogrend.example.org", "es/22"), ("x.net", "es/a"), ("x.net", "fr/blog")], 1
+    )]
+    both = pages.union(spark.createDataFrame(extra, pages.schema))
+    rows = [(r.page_id, r.url, r.html) for r in both.collect()]
+    wanted = dict(zip([r[0] for r in rows], plain_verdicts([r[1:] for r in rows]), strict=True))
+    for r in url_filter.judge_urls(both).collect():
+        rule, verdict, score = wanted[r.page_id]
+        assert (r.rule, r.score is None) == (rule, score is None)
+        if score is None or abs(score) > 1e-4:
+            assert r.verdict == verdict
+        if score is not None:
+            assert abs(r.score - score) < 1e-3 + 1e-4 * abs(score)
+
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 

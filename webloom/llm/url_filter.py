@@ -28,7 +28,7 @@ RULES = (
     ("net/es/", "block"),
     ("net/fr/", "block"),
 )
-LONGEST_WORD = 20
+HEAD = 20  # letters that a lookup reads: longer words are met under their first so many
 BUCKETS = 1 << 18  # hashed tokens of the naive Bayes model: its size, whatever the data
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -67,20 +67,32 @@ def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
                 counts.update(words.findall(tags.sub(" ", html).lower()))
         return {"word": pa.array(counts.keys(), pa.string()), "n": pa.array(counts.values(), pa.int64())}
 
-    # Words past the longest that can be looked up count towards the total only.
     counted = map_arrow(pages, [html_col], body, "word string, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def segment(label: str, counts: dict[str, int], total: int) -> list[str]:
-    """The most probable split of ``label`` into words; unknown words lose a digit's chance per letter."""
-    best, back = [0.0] + [-math.inf] * len(label), [0] * (len(label) + 1)
+    """The most probable split of ``label`` into words of any length.
+
+    ``counts`` holds those of its substrings that are words. Others are unknown words, which lose
+    a digit's chance per letter: of those that end at a place the best one starts where the
+    score so far, with that loss taken back, is largest, so only known words are tried one by one.
+    """
+    letter = math.log(10)
+    sizes = sorted({len(word) for word in counts}, reverse=True)
+    best, back = [0.0], [0]
+    start, lead = 0, 0.0  # of the best unknown word so far: best[start] + start * letter
     for end in range(1, len(label) + 1):
-        for start in range(max(0, end - LONGEST_WORD), end):
-            n = counts.get(label[start:end])
-            score = math.log(n / total) if n else -math.log(total) - (end - start - 1) * math.log(10) - 2
-            if best[start] + score > best[end]:
-                best[end], back[end] = best[start] + score, start
+        at = start
+        score = lead - (end - 1) * letter - math.log(total) - 2
+        for size in sizes:
+            n = counts.get(label[end - size : end]) if size <= end else None
+            if n and best[end - size] + math.log(n / total) > score:
+                at, score = end - size, best[end - size] + math.log(n / total)
+        best.append(score)
+        back.append(at)
+        if score + end * letter > lead:
+            start, lead = end, score + end * letter
     out, end = [], len(label)
     while end:
         out.append(label[back[end] : end])
@@ -91,21 +103,27 @@ def segment(label: str, counts: dict[str, int], total: int) -> list[str]:
 def split_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
     """(label, words) of distinct ``labels``, by the whole vocabulary ``counts`` (word, n).
 
-    The vocabulary isn't broadcast: every substring of a label looks up its own count,
-    and a label is split where its counts have come together.
+    The vocabulary isn't broadcast: every substring of a label of up to ``HEAD`` letters looks
+    up its own count; those of ``HEAD`` letters also meet the longer words that begin
+    with them, of which the label keeps what it contains. So words of any length are found, and
+    a label of n letters makes at most ``HEAD`` * n rows before it meets a word. It is
+    split where its counts have come together.
     """
     total = int(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     start = F.explode(F.sequence(F.lit(1), F.length("label"))).alias("start")
-    size = F.explode(
-        F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("label") - F.col("start") + 1))
-    )
+    size = F.explode(F.sequence(F.lit(1), F.least(F.lit(HEAD), F.length("label") - F.col("start") + 1)))
     parts = (
         labels.where("label <> ''").select("label", start).withColumn("size", size)
         .select("label", F.expr("substring(label, start, size)").alias("word"))
         .distinct()
     )
-    met = hot_key_join(parts, counts, "word", spread="label", how="inner")
-    known = met.groupBy("label").agg(
+    short = hot_key_join(parts, counts, "word", spread="label", how="inner").select("label", "word", "n")
+    heads = parts.where(F.length("word") == HEAD).withColumnRenamed("word", "head")
+    longer = counts.where(F.length("word") > HEAD).withColumn("head", F.substring("word", 1, HEAD))
+    long = hot_key_join(heads, longer, "head", spread="label", how="inner").where(
+        F.contains("label", "word")
+    )
+    known = short.union(long.select("label", "word", "n")).groupBy("label").agg(
         F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("counts")
     )
 
@@ -136,7 +154,8 @@ def judge_urls(
 
     A URL that a rule fits gets its verdict (score null); any other gets block if the
     log odds ``score`` of block are above zero, else allow. A null URL, or one without
-    ``://``, has empty host and path and is allowed, as prior odds aren't used.
+    ``://``, has empty host and path and is allowed, as prior odds aren't used. A tie of the
+    odds allows. Labels of hosts may have any length, as may the words they are split into.
     Repeated rows are judged alike and kept; an empty table gives no rows; other
     columns are not read.
     """
