@@ -15,7 +15,7 @@ import xxhash
 from sentencepiece import sentencepiece_model_pb2 as formats
 
 from tests.llm import brute
-from webloom.llm import embeddings, language, mixing, pieces, simhash, url_filter
+from webloom.llm import common, embeddings, language, mixing, pieces, simhash, url_filter
 from webloom.llm.common import components
 from webloom.llm.queries import QUERIES
 from webloom.operators.joins import hot_key_join
@@ -34,6 +34,20 @@ def test_components(spark):
     assert got == dict(zip(nodes, expected, strict=True))
 
 
+@pytest.mark.parametrize("per_task", [2, 50])
+def test_half_of_all_edges_at_one_hub(spark, monkeypatch, per_task):
+    monkeypatch.setattr(common, "ROWS_PER_TASK", per_task)
+    monkeypatch.setattr(common, "hot_key_join", lambda *a: hot_key_join(*a, rows_per_task=per_task))
+    edges = [(999, i) for i in range(300)] + [(1000 + 2 * i, 1002 + 2 * i) for i in range(150)]
+    edges += [(5000 + i, 5001 + i) for i in range(0, 300, 2)]
+    draw = random.Random(1)
+    edges = [draw.choice([(a, b), (b, a)]) for a, b in edges]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    expected = {i: 0 for i in [*range(300), 999]} | {1000 + 2 * i: 1000 for i in range(151)}
+    expected |= {5000 + i: 5000 + i - i % 2 for i in range(300)}
+    assert got == expected
+
+
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 

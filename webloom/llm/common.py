@@ -7,10 +7,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.operators.joins import shared_folder
+from webloom.operators.joins import ROWS_PER_TASK, hot_key_join, shared_folder
 
 PIECE_ROWS = 500
 # The bytes that count as white space in every contract: [\x20\x09-\x0D].
@@ -29,6 +29,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``stage``, and ``measures`` (aggregates) of its rows, taken while they are written.
+
+    A sum may count rows twice if an executor is lost on the way; a maximum stays right.
+    """
+    seen = Observation()
+    out = stage(df.observe(seen, *(column.alias(key) for key, column in measures.items())), name)
+    return out, seen.get
+
+
+def join_sized(rows: DataFrame, sized: DataFrame, key: str, spread: str, most: int | None, how: str) -> DataFrame:
+    """``rows`` joined with ``sized``, one row a key, where no key has over ``most`` rows.
+
+    Keys that fit into a task join as usual; only if one may not are hot keys counted and
+    their rows spread by the hash of ``spread``.
+    """
+    if (most or 0) <= ROWS_PER_TASK:
+        return rows.join(sized, key, how)
+    return hot_key_join(rows, sized, key, spread, how)
+
+
 def in_pieces(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces of ``PIECE_ROWS`` rows at most, whatever size the session gives batches.
 
@@ -83,10 +104,10 @@ def deal_buckets(keyed: DataFrame, spread: str, block: int, useful: Column | Non
     """
     wanted = F.count("*") > 1 if useful is None else (F.count("*") > 1) & useful
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), wanted.alias("_wanted"))
-    sizes = stage(sizes.where("_wanted").select("key", "n"), "buckets")
+    sizes, seen = stage_counted(sizes.where("_wanted").select("key", "n"), "buckets", most=F.max("n"))
     many = F.ceil(F.col("n") / block).cast("int")
     dealt = (
-        keyed.join(sizes, "key")
+        join_sized(keyed, sizes, "key", spread, seen["most"], "inner")
         .withColumn("_own", F.pmod(F.xxhash64(spread), many).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), many - 1)))
         .withColumns({"low": F.least("_own", "_other"), "high": F.greatest("_own", "_other")})
@@ -101,9 +122,10 @@ def deal_hot_buckets(keyed: DataFrame, spread: str, block: int) -> DataFrame:
     Only the keys of more than ``block`` rows are looked up.
     """
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    sizes, seen = stage_counted(sizes, "buckets", most=F.max("n"))
     many = F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int")
     dealt = (
-        keyed.join(stage(sizes, "buckets"), "key", "left")
+        join_sized(keyed, sizes, "key", spread, seen["most"], "left")
         .withColumn("_own", F.pmod(F.xxhash64(spread), many).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), many - 1)))
         .withColumns({"low": F.least("_own", "_other"), "high": F.greatest("_own", "_other")})
@@ -142,13 +164,15 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn, until nothing changes: the number of
     rounds grows with the logarithm of a component's size, rows never exceed
     the edges, and minima are combined before each shuffle. Nodes may be of any
-    type that has an order. Each round is written to the shared folder.
+    type that has an order. Each round is written to the shared folder, and counted on the way.
+    The edges of a hub that has more than a task should hold are spread over several.
     """
 
     def star(pairs: DataFrame, name: str) -> DataFrame:
         # pairs: (u, v), each v gets the smallest of u and all v of that u.
-        least = stage(pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), name)
-        return pairs.join(least, "u").select("u", "v", "m")
+        least = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+        least, seen = stage_counted(least, name, most=F.max("n"))
+        return join_sized(pairs, least, "u", "v", seen["most"], "inner").select("u", "v", "m")
 
     def large(e: DataFrame) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
@@ -164,9 +188,11 @@ def components(edges: DataFrame) -> DataFrame:
         return to_least.union(own)
 
     def kept(e: DataFrame, name: str) -> tuple[DataFrame, tuple]:
-        distinct = stage(e.where("a <> b").distinct(), name)
         both = F.xxhash64("a", "b").cast("decimal(38,0)")
-        return distinct, tuple(distinct.agg(F.count("*"), F.sum(both)).first())
+        distinct, seen = stage_counted(
+            e.where("a <> b").distinct(), name, rows=F.count("*"), total=F.sum(both)
+        )
+        return distinct, (seen["rows"], seen["total"])
 
     current, mark = kept(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "edges"
