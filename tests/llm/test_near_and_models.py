@@ -590,6 +590,7 @@ def test_mixing(spark):
     assert (rates >= 0).all()
     assert np.allclose((p * (tokens * rates)[:, None]).sum(axis=0), reached)
     total = (p * tokens[:, None]).sum()
+    assert np.isclose(fit.miss, np.abs(reached - wanted).max() / total)
     reachable = [i for i, name in enumerate(model.names) if mixing.TARGETS.get(name)]
     assert np.abs(reached - wanted)[reachable].max() < 0.01 * total
     # The same least squares, solved here on one array.
@@ -622,6 +623,7 @@ def test_domains_are_learned(spark):
     rows = mixing.mix(docs, labels).join(labels, "doc_id").collect()
     right = sum(r.domain == f"{r.quality},{r.toxic}" for r in rows)
     assert right >= 0.9 * len(rows)
+    assert len({r.miss for r in rows}) == 1 and 0 <= rows[0].miss < 0.05
 
 
 def test_mixing_of_odd_rows(spark, odd, odd_rows, empty):
@@ -632,5 +634,5 @@ def test_mixing_of_odd_rows(spark, odd, odd_rows, empty):
     assert mixing.mix(odd, labels).count() == len(odd_rows)
     unlabelled = mixing.mix(odd, labels.limit(0)).collect()
     assert len(unlabelled) == len(odd_rows)
-    assert all(r.rate == 1 and r.copies == 1 and r.domain is None for r in unlabelled)
+    assert all(r.rate == 1 and r.copies == 1 and r.domain is None and r.miss is None for r in unlabelled)
     assert mixing.mix(empty, labels).collect() == []

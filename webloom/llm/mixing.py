@@ -176,6 +176,7 @@ class Fit:
 
     step: float
     history: list[np.ndarray]  # relative misses of the totals, one row per step
+    miss: float = 0.0  # largest miss of a total that is left, as a share of all tokens
 
     def rates(self, p: np.ndarray) -> np.ndarray:
         """Accelerated projected gradient from rates of one, replayed for rows of ``p``."""
@@ -243,6 +244,7 @@ def fit_rates(
         fit.history.append(np.round((ahead - wanted) / total, 12))
         before, (reached, ahead) = reached, _sums(members, k, fit)
         change = 10 * np.abs(reached - before).max()
+    fit.miss = float(np.abs(reached - wanted).max() / total)
     return fit, reached, wanted
 
 
@@ -253,12 +255,16 @@ def mix(
     anchor: tuple[int, int] = ANCHOR,
     train_docs: int = TRAIN_DOCS,
 ) -> DataFrame:
-    """(doc_id, tokens, p, domain, rate, copies) of every row of ``docs``.
+    """(doc_id, tokens, p, domain, rate, copies, miss) of every row of ``docs``.
 
     ``p`` are the posteriors of the labelled domains in ascending order, ``domain`` the
     likeliest as ``quality,toxic``; ``copies`` is the rate rounded up or down by the hash
-    of the id, so that its expectation is the rate. Null and empty texts have no
-    tokens and count for no total. Without labels every rate is 1 and the domain null.
+    of the id, so that its expectation is the rate. ``miss`` is the same in all rows: how far the
+    domain total that is worst met lies from its target, as a share of all tokens. It is
+    above ``TOLERANCE`` where no rates reach the targets or the fit ended at ``STEPS``
+    steps, each one pass over the posteriors. Null and empty texts, however many, have no
+    tokens and count for no total; a very long one counts with all its words. Of equal posteriors
+    the domain that comes first is the likeliest. Without labels every rate is 1, domain and miss null.
     Repeated rows are treated alike; an empty table gives no rows; other columns
     are not read.
     """
@@ -271,6 +277,7 @@ def mix(
         return out.select(
             "doc_id", "tokens", F.array().cast("array<double>").alias("p"),
             F.lit(None).cast("string").alias("domain"), F.lit(1.0).alias("rate"), F.lit(1).alias("copies"),
+            F.lit(None).cast("double").alias("miss"),
         )
     members = stage(memberships(docs, model), "members")
     fit, _, _ = fit_rates(members, names, targets, anchor)
@@ -288,6 +295,6 @@ def mix(
 
     schema = "doc_id bigint, tokens bigint, p array<double>, domain string, rate double"
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("copies")), F.lit(1 << 30)) / (1 << 30)
-    return map_arrow(members, ["doc_id", "tokens", "p"], body, schema).withColumn(
-        "copies", F.floor(F.col("rate") + draw).cast("int")
+    return map_arrow(members, ["doc_id", "tokens", "p"], body, schema).withColumns(
+        {"copies": F.floor(F.col("rate") + draw).cast("int"), "miss": F.lit(round(fit.miss, 6))}
     )
