@@ -99,6 +99,41 @@ def test_one_of_each_with_half_of_all_rows_alike(spark, hot):
     assert len(ids) == 41 and set(ids) == {*texts, hot}
 
 
+@pytest.fixture
+def broadcast_limit(spark):
+    """Sets the size up to which Spark broadcasts a table, for the length of a test."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    yield lambda size: spark.conf.set(key, str(size))
+    spark.conf.set(key, before)
+
+
+def test_one_of_each_moves_no_text(spark, broadcast_limit):
+    """What stays is known by so few bytes that the texts need no shuffle: 20 kB for 20,000 rows."""
+    hash_ = xxhash.xxh3_64_hexdigest
+    texts = [" ".join(hash_(f"{i - i % 5 // 4} {j}") for j in range(6)) for i in range(20_000)]
+    docs = spark.createDataFrame([(7 * i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    broadcast_limit(20_000)
+    got = simhash.one_of_each(docs.repartition(3))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert sorted(r.doc_id for r in got.collect()) == [7 * i for i in range(20_000) if i % 5 < 4]
+
+
+@pytest.mark.parametrize("size", [-1, 10_000_000])
+def test_numbered_rows_are_kept(spark, broadcast_limit, size):
+    """At the ends of words and of the numbers, by either join; no other name or row matters."""
+    numbers = [*range(200), *((7 << 33) + i for i in range(130)), (1 << 62) + 63, 2**63 - 1]
+    draw = random.Random(4)
+    kept = {n for n in numbers if draw.random() < 0.5} | {0, 63, 64, 127, 2**63 - 1}
+    rows = spark.createDataFrame([(n, "b", n % 9) for n in numbers], "at bigint, bits string, word bigint")
+    broadcast_limit(size)
+    for wanted in (kept, set(numbers), set()):
+        got = common.keep_numbered(rows, "at", spark.createDataFrame([(n,) for n in wanted], "at bigint"))
+        assert got.columns == rows.columns
+        assert sorted(r.at for r in got.collect()) == sorted(wanted)
+
+
 def test_simhash_with_a_hot_fingerprint(spark, monkeypatch):
     """Rows of a frequent fingerprint go to several tasks and come back whole."""
     monkeypatch.setattr(simhash, "hot_key_join", lambda *args: hot_key_join(*args, rows_per_task=10))

@@ -78,6 +78,23 @@ def map_arrow(
     return df.select(*columns).mapInArrow(batches, schema)
 
 
+def keep_numbered(rows: DataFrame, at: str, kept: DataFrame) -> DataFrame:
+    """Of ``rows``, each with a number ``at`` of its own, those whose number is in ``kept`` (at).
+
+    Numbers are long and not negative. ``kept`` becomes a bit a number, 64 neighbouring numbers a
+    row: for numbers as ``monotonically_increasing_id`` deals them about two bits for each
+    of ``rows``. So Spark broadcasts it up to tens of millions of rows and moves none of
+    ``rows``; beyond its limit both are shuffled. Numbers far apart give a row each.
+    """
+    place = lambda number: number.bitwiseAND(63).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place(F.col("at")))
+    words = stage(
+        kept.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(bit).alias("bits")), "kept"
+    )
+    met = F.shiftright(rows[at], 6) == words["word"]
+    return rows.join(words, met & (F.getbit(words["bits"], place(rows[at])) == 1), "left_semi")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` is called so."""
     taken = {column.lower() for column in df.columns}

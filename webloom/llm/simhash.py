@@ -24,6 +24,7 @@ from webloom.llm.common import (
     deal_buckets,
     deal_hot_buckets,
     fresh,
+    keep_numbered,
     map_arrow,
     stage,
     utf8,
@@ -247,7 +248,8 @@ def one_of_each(
     The row of smallest id stays; rows without an id come after all others, and of the
     rows that share the smallest id one stays. Rows are told apart by a number of their own,
     so neither a repeated id nor a missing one takes a row of another group with it. Null and
-    empty texts are one group, with all whose fingerprint is near zero.
+    empty texts are one group, with all whose fingerprint is near zero. Which numbers stay is
+    told by bits, small enough not to move the texts, see ``keep_numbered``.
     """
     at = fresh(docs, "_at")
     numbered = stage(docs.withColumn(at, F.monotonically_increasing_id()), "numbered")
@@ -263,5 +265,5 @@ def one_of_each(
     first = F.struct(F.col("id").isNull().alias("unnamed"), "id", "at")
     classes = stage(rows.groupBy("fp").agg(F.min(first).alias("least")), "classes")
     rooted = _rooted(classes, sketches, distance, run)
-    stay = stage(rooted.groupBy("root").agg(F.min("least").alias("least")), "stay")
-    return numbered.join(stay.select(F.col("least.at").alias(at)), at, "left_semi").drop(at)
+    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.at")
+    return keep_numbered(numbered, at, stay).drop(at)
