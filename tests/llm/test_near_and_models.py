@@ -612,6 +612,36 @@ def test_round_trips(spark, odd, odd_rows, empty):
     assert pieces.round_trips(empty, model).collect() == []
 
 
+def test_one_python_process_for_both_ways(spark, odd):
+    """A second one holds its batches beside those of the first, in the same executor."""
+    model = pieces.Model(spark, PIECES)
+    plan = pieces.decode(pieces.encode(odd, model), model)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert not re.search("EvalPython|MapInPandas|PythonUDF", plan)
+
+
+def test_decoding_of_any_bytes(spark, codec):
+    """Pieces in any order, with bytes that are no UTF-8, as Python decodes them."""
+    draw, model = random.Random(9), pieces.Model(spark, PIECES)
+    single = [*b"A \x80\xbf\xc0\xc3\xe0\xe2\x82\xed\xa0\xf0\x9f\xf4\x90\xff"]
+    rows = [
+        [codec.bytes[draw.choice(single)] if draw.random() < 0.8 else draw.randrange(32_000) for _ in range(n % 9)]
+        for n in range(2000)
+    ]
+    rows += [[3], [codec.pieces.unknown], None]
+    encoded = spark.createDataFrame([(i, "", ids) for i, ids in enumerate(rows)], "id long, text string, ids array<int>")
+    got = {r.id: (r.decoded, r.n_byte_pieces) for r in pieces.decode(encoded, model).collect()}
+    single = set(codec.bytes.values())
+    assert got == {
+        i: (None, 0) if ids is None else (codec.decode(ids), sum(x in single for x in ids))
+        for i, ids in enumerate(rows)
+    }
+    for wrong in (len(codec.raw), -1, None):
+        unknown = spark.createDataFrame([(0, "", [5, wrong])], encoded.schema)
+        with pytest.raises(Exception, match="has no piece"):
+            pieces.decode(unknown, model).collect()
+
+
 def test_mixing(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

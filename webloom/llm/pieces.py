@@ -11,10 +11,11 @@ import math
 import re
 from array import array
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as formats
 
@@ -98,6 +99,19 @@ class Pieces:
         texts = [piece.piece for piece in model.pieces]
         return cls(texts, scores, kinds, unknown, rules.add_dummy_prefix)
 
+    def by_byte(self) -> dict[int, int]:
+        """The piece that stands for each byte."""
+        kind = formats.ModelProto.SentencePiece.BYTE
+        return {int(self.texts[i][3:5], 16): i for i, k in enumerate(self.kinds) if k == kind}
+
+    def raw(self) -> list[bytes]:
+        """What each piece becomes in a decoded text."""
+        kind = formats.ModelProto.SentencePiece
+        raw = [t.replace(MARK, " ").encode() for t in self.texts]
+        for byte, i in self.by_byte().items():
+            raw[i] = bytes([byte])
+        return [b"" if k in (kind.CONTROL, kind.UNKNOWN) else r for r, k in zip(raw, self.kinds, strict=True)]
+
 
 def log_scores(scores: list[float], kinds: list[int]) -> list[float]:
     """Log-probabilities for pieces whose file holds merge priorities instead.
@@ -122,16 +136,12 @@ class Codec:
         kind = formats.ModelProto.SentencePiece
         normal = [i for i, k in enumerate(pieces.kinds) if k == kind.NORMAL]
         self.unknown_score = min((pieces.scores[i] for i in normal), default=0.0) - 10.0
-        self.bytes = {int(pieces.texts[i][3:5], 16): i for i, k in enumerate(pieces.kinds) if k == kind.BYTE}
-        self.raw = [t.replace(MARK, " ").encode() for t in pieces.texts]
-        for byte, i in self.bytes.items():
-            self.raw[i] = bytes([byte])
-        for i, k in enumerate(pieces.kinds):
-            if k in (kind.CONTROL, kind.UNKNOWN):
-                self.raw[i] = b""
-        # Where no piece has a marker after another character, words are independent.
+        self.bytes, self.raw = pieces.by_byte(), pieces.raw()
+        # Where no piece has a marker after another character, words are independent. They are kept
+        # with spaces for markers: most are ASCII then, a byte a character.
         apart = not any(MARK in t.lstrip(MARK) for t in (pieces.texts[i] for i in normal))
-        self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if apart else r"[\s\S]+")
+        self.words = re.compile(" *[^ ]+| +" if apart else r"[\s\S]+")
+        self.code = "H" if len(pieces.texts) <= 1 << 16 else "i"
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.longest = max((len(pieces.texts[i].encode()) for i in normal), default=1)
@@ -176,18 +186,18 @@ class Codec:
         return out[::-1]
 
     def packed(self, text: str) -> bytes:
-        """The identifiers of ``text`` as 32-bit integers."""
+        """The identifiers of ``text`` as integers of type ``code``."""
         if not text:
             return b""
-        marked = (MARK if self.pieces.prefix else "") + text.replace(" ", MARK)
+        spaced = (" " if self.pieces.prefix else "") + text.replace(MARK, " ")
         get, look = self.known.get, self._word
-        return b"".join([get(word) or look(word) for word in self.words.findall(marked)])
+        return b"".join([get(word) or look(word) for word in self.words.findall(spaced)])
 
     def _word(self, word: str) -> bytes:
         ids = self.older.get(word)
-        raw = word.encode()
+        raw = word.replace(" ", MARK).encode()
         if ids is None:
-            ids = array("i", self.viterbi(raw)).tobytes()
+            ids = array(self.code, self.viterbi(raw)).tobytes()
         if len(raw) <= REMEMBER_BYTES:
             if len(self.known) >= REMEMBER:
                 self.known, self.older = {}, self.known  # what is in use comes back from there
@@ -195,7 +205,7 @@ class Codec:
         return ids
 
     def encode(self, text: str) -> list[int]:
-        return array("i", self.packed(text)).tolist()
+        return array(self.code, self.packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -217,7 +227,8 @@ class Model:
     """A model file, read by the driver and broadcast (pieces and trie: a fixed size)."""
 
     def __init__(self, spark, path: str):
-        self.path, pieces = path, Pieces.load(path)
+        self.path, self.pieces = path, Pieces.load(path)
+        pieces = self.pieces
         normal = formats.ModelProto.SentencePiece.NORMAL
         trie = DoubleArray.build(
             {t.encode(): i for i, t in enumerate(pieces.texts) if pieces.kinds[i] == normal}
@@ -238,12 +249,13 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def body(part: pa.RecordBatch) -> dict:
         codec = _codec(key, shared)
         packed = [codec.packed(text.decode("utf-8", "replace")) for text in utf8(part.column(1))]
-        sizes = np.cumsum([0, *map(len, packed)]) // 4
+        flat = np.frombuffer(b"".join(packed), codec.code)
+        sizes = np.cumsum([0, *map(len, packed)]) // flat.itemsize
         return {
             "id": part.column(0).cast(pa.int64()),
             "text": part.column(1),
             "ids": pa.ListArray.from_arrays(
-                pa.array(sizes, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)),
+                pa.array(sizes, pa.int32()), pa.array(flat.astype(np.int32)),
                 mask=part.column(1).is_null() if part.column(1).null_count else None,
             ),
         }
@@ -252,28 +264,31 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
-    """``encoded`` (id, text, ids) with ``decoded`` and ``n_byte_pieces``; null ids give a null text."""
-    shared, key = model.shared, model.path
+    """``encoded`` (id, text, ids) with ``decoded`` and ``n_byte_pieces``; null ids give a null text.
 
-    def body(part: pa.RecordBatch) -> dict:
-        codec = _codec(key, shared)
-        # Row by row: all identifiers as Python lists at once would take many times their size.
-        rows = part.column(2)
-        ends, there = rows.offsets.to_numpy(), rows.is_valid().to_pylist()
-        flat, ends = rows.values.to_numpy()[ends[0] : ends[-1]], ends - ends[0]
-        by_byte = np.concatenate([[0], np.cumsum(np.isin(flat, list(codec.bytes.values())))])
-        texts = [
-            codec.decode(flat[ends[i] : ends[i + 1]].tolist()) if there[i] else None
-            for i in range(len(rows))
-        ]
-        names = ("id", "text", "ids")
-        return {n: part.column(i) for i, n in enumerate(names)} | {
-            "decoded": pa.array(texts, pa.string()),
-            "n_byte_pieces": pa.array(by_byte[ends[1:]] - by_byte[ends[:-1]], pa.int64()),
-        }
-
-    columns = "id bigint, text string, ids array<int>, decoded string, n_byte_pieces bigint"
-    return map_arrow(encoded, ["id", "text", "ids"], body, columns)
+    Native, so a task has one Python process, that of ``encode``, and texts and identifiers
+    don't go through a second one. The pieces are a literal of the plan, in hexadecimal digits: single
+    byte pieces are no strings. Bytes that are no UTF-8 become U+FFFD; an identifier that
+    the model doesn't have is an error.
+    """
+    raw = F.split(F.lit(",".join(piece.hex() for piece in model.pieces.raw())), ",")
+    missing = F.raise_error(F.lit("an identifier has no piece"))
+    joined = F.array_join(F.transform("ids", lambda i: F.coalesce(F.get(raw, i), missing)), "")
+    text = F.make_valid_utf8(F.unhex(joined).cast("string"))
+    singles = set(model.pieces.by_byte().values())
+    starts = sorted(i for i in singles if i - 1 not in singles)
+    ends = sorted(i for i in singles if i + 1 not in singles)
+
+    def is_byte(i: Column) -> Column:
+        runs = (i.between(low, high) for low, high in zip(starts, ends, strict=True))
+        return reduce(Column.__or__, runs, F.lit(False))
+
+    n_bytes = F.coalesce(F.size(F.filter("ids", is_byte)), F.lit(0)).cast("bigint")
+    out = encoded.select("id", "text", "ids", text.alias("decoded"), n_bytes.alias("n_byte_pieces"))
+    if not model.pieces.prefix:
+        return out
+    first = F.when(F.startswith("decoded", F.lit(" ")), 2).otherwise(1)
+    return out.withColumn("decoded", F.substr("decoded", first))
 
 
 def round_trips(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
